@@ -1,0 +1 @@
+"""Empty on purpose: every table of a retail batch is bounded and nothing here is a stream."""
