@@ -52,7 +52,7 @@ def generation_sink(
     frame.write.mode("overwrite").parquet(_attempt_dir(root, table, generation_id, attempt))
 
 
-def _read_attempt(
+def read_attempt(
     spark: SparkSession, root: str, table: str, generation_id: str, attempt: int, schema: T.StructType
 ) -> DataFrame:
     rows = spark.read.schema(schema).parquet(_attempt_dir(root, table, generation_id, attempt))
@@ -113,7 +113,7 @@ def pinned_read(spark: SparkSession, root: str, generation_id: str) -> dict[str,
     if {row["table_name"] for row in rows} != set(TABLES):
         raise PublicationError(f"UNKNOWN_GENERATION: {generation_id}")
     return {
-        row["table_name"]: _read_attempt(
+        row["table_name"]: read_attempt(
             spark,
             root,
             row["table_name"],
