@@ -30,6 +30,7 @@ class Batch:
         self.tables = dict(tables)
         self.knowledge_time = knowledge_time
         self.policy = policy
+        self._rows: dict[str, int] = {}
         self._hot: dict[tuple[str, ...], DataFrame | None] = {}
         self._small_dimension: bool | None = None
 
@@ -39,10 +40,15 @@ class Batch:
     def replace(self, **tables: DataFrame) -> Batch:
         return Batch({**self.tables, **tables}, self.knowledge_time, self.policy)
 
+    def rows(self, table: str) -> int:
+        if table not in self._rows:
+            self._rows[table] = self[table].count()
+        return self._rows[table]
+
     def hot(self, table: str, *keys: str) -> DataFrame | None:
         probe = (table, *keys)
         if probe not in self._hot:
-            self._hot[probe] = hot_keys(self[table], keys, self.policy)
+            self._hot[probe] = hot_keys(self[table], keys, self.policy, self.rows(table))
         return self._hot[probe]
 
     def dimension_is_small(self) -> bool:

@@ -37,11 +37,11 @@ def _ordered(value: Column, kind: T.DataType) -> Column:
     return value
 
 
-def ascii_json(text: Column) -> Column:
-    """JSON text with every character outside printable ASCII as a lower-case \\uXXXX escape.
+def _lowered_escapes(text: Column) -> Column:
+    """Spark's escapes in lower case, and DEL escaped too.
 
-    Spark writes the escapes in upper case and leaves DEL raw. A doubled backslash is set aside
-    first (JSON never holds a raw control character), so only real escapes are rewritten.
+    A doubled backslash is set aside first (JSON never holds a raw control character), so that only
+    real escapes are rewritten.
     """
     aside = F.replace(text, F.lit("\\\\"), F.lit("\x01"))
     pieces = F.split(aside, r"\\u")
@@ -57,20 +57,31 @@ def ascii_json(text: Column) -> Column:
     )
 
 
-def canonical_row_json(
+def ordered_json(
     frame: DataFrame, columns: Sequence[str] | None = None, *, escape: bool = True
 ) -> Column:
-    """One JSON object per row: keys sorted, no spaces, nulls kept, ASCII only unless escape is off."""
+    """One JSON object per row: keys sorted, no spaces, nulls kept; non-ASCII escaped on demand."""
     wanted = sorted(columns or frame.columns)
     kinds = {field.name: field.dataType for field in frame.schema.fields}
     row = F.struct(*[_ordered(F.col(name), kinds[name]).alias(name) for name in wanted])
-    if not escape:
-        return F.to_json(row, {"ignoreNullFields": "false"})
-    encoded = F.to_json(
-        row, {"ignoreNullFields": "false", "writeNonAsciiCharacterAsCodePoint": "true"}
-    )
-    # Most text is plain ASCII without any escape: skip the rewriting there.
-    return F.when(encoded.rlike(r"\\u|\x7f"), ascii_json(encoded)).otherwise(encoded)
+    options = {"ignoreNullFields": "false"}
+    if escape:
+        options["writeNonAsciiCharacterAsCodePoint"] = "true"
+    return F.to_json(row, options)
+
+
+def canonical_escapes(text: Column) -> Column:
+    """The escapes of `ordered_json` in their canonical form; most rows hold none and pass as is."""
+    holds_any = text.contains("\\u") | text.contains("\x7f")
+    return F.when(holds_any, _lowered_escapes(text)).otherwise(text)
+
+
+def canonical_row_json(
+    frame: DataFrame, columns: Sequence[str] | None = None, *, escape: bool = True
+) -> Column:
+    """Canonical JSON of each row: sorted keys, no spaces, nulls kept, ASCII unless escape is off."""
+    encoded = ordered_json(frame, columns, escape=escape)
+    return canonical_escapes(encoded) if escape else encoded
 
 
 def sha256_hex(value: Column) -> Column:

@@ -57,15 +57,29 @@ def order_keys(orders: DataFrame) -> DataFrame:
     return orders.select("order_id").distinct()
 
 
-def line_keys(lines: DataFrame) -> DataFrame:
-    return lines.select("order_id", "line_id").distinct()
+def returned_lines(batch: Batch) -> DataFrame:
+    """One row per line key that has returns, with its ordered quantity.
+
+    Returns are few beside lines: filtering the lines by them first keeps most lines out of the
+    shuffle, and needs none where the return keys are small enough to broadcast.
+    """
+    keys = ["order_id", "line_id"]
+    return ordered_by_line(
+        lookup_join(
+            batch["order_lines"].select(*keys, "quantity"),
+            batch["returns"].select(*keys).distinct(),
+            keys,
+            "left_semi",
+            batch.hot("order_lines", *keys),
+        )
+    )
 
 
 def valid_returns(batch: Batch) -> DataFrame:
     """Returns whose line exists: only these count towards sums and metrics."""
     return lookup_join(
         batch["returns"],
-        line_keys(batch["order_lines"]),
+        returned_lines(batch),
         ["order_id", "line_id"],
         "left_semi",
         batch.hot("returns", "order_id", "line_id"),

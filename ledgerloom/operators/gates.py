@@ -157,7 +157,7 @@ def gate_orphan_line(batch: Batch) -> DataFrame:
 def gate_orphan_return(batch: Batch) -> DataFrame:
     orphans = lookup_join(
         batch["returns"],
-        agg.line_keys(batch["order_lines"]),
+        agg.returned_lines(batch),
         ["order_id", "line_id"],
         "left_anti",
         batch.hot("returns", "order_id", "line_id"),
@@ -173,7 +173,7 @@ def gate_invalid_return(batch: Batch) -> DataFrame:
 def gate_return_quantity(batch: Batch) -> DataFrame:
     """Both sides are one row per line key, so no key is heavy; the inner join drops orphans."""
     compared = agg.returned_by_line(batch["returns"]).join(
-        agg.ordered_by_line(batch["order_lines"]), ["order_id", "line_id"]
+        agg.returned_lines(batch), ["order_id", "line_id"]
     )
     return violations(
         compared.filter(unless(return_is_covered())),

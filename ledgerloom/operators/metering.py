@@ -33,9 +33,11 @@ def outcome_reconciliation(runs: DataFrame, expected: dict[str, str] | None = No
     `runs` has name, status and seq; the last run of a kind counts.
     """
     wanted = expected or EXPECTED_OUTCOMES
-    table = runs.sparkSession.createDataFrame(
-        list(wanted.items()), "kind string, expected string"
-    )
+    pairs = [
+        F.struct(F.lit(kind).alias("kind"), F.lit(status).alias("expected"))
+        for kind, status in wanted.items()
+    ]
+    table = runs.sparkSession.range(1).select(F.inline(F.array(*pairs)))
     actual = runs.groupBy(run_prefix(F.col("name")).alias("kind")).agg(
         F.max_by("status", "seq").alias("actual")
     )

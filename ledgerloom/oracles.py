@@ -362,7 +362,9 @@ def _json(columns: list[str]) -> str:
 
 def _fingerprint(table: str) -> str:
     lanes = ", ".join(
-        f"coalesce(sum(cast('0x' || substr(h, {1 + 4 * lane}, 4) as bigint)), 0)" for lane in range(16)
+        f"coalesce(sum((cast('0x' || substr(h, {1 + 15 * word}, 15) as bigint) >> {shift}) & 1048575), 0)"
+        for word in range(4)
+        for shift in (40, 20, 0)
     )
     return (
         f"select '{table}' as table_name, count(*) as rows, "

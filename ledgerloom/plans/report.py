@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.batch import Batch
 from ledgerloom.functions.predicates import unless
-from ledgerloom.functions.text import entity_key
 from ledgerloom.operators import aggregates as agg
 from ledgerloom.operators import gates
 from ledgerloom.operators.temporal import dimension_matches, line_events
-from ledgerloom.schemas import COMPLETED, ENTITY_NAMES, IDENTITY_KEYS, MESSAGES
+from ledgerloom.schemas import COMPLETED, MESSAGES
 from ledgerloom.skew import lookup_join
 
 
@@ -29,9 +28,7 @@ def _emit(rows: DataFrame, *checks: tuple[str, Column, Column]) -> DataFrame:
             F.struct(
                 F.lit(code).alias("code"),
                 entity.cast("string").alias("entity_id"),
-                F.lit(MESSAGES.get(code, f"duplicate {ENTITY_NAMES['order_lines']} identity")).alias(
-                    "message"
-                ),
+                F.lit(MESSAGES[code]).alias("message"),
             ),
         )
         for code, entity, condition in checks
@@ -78,49 +75,6 @@ def _line_row_grain(batch: Batch) -> DataFrame:
     )
 
 
-def _line_key_grain(batch: Batch) -> DataFrame:
-    """Lines and returns meet in one aggregation by line key."""
-    nothing = F.lit(None).cast("bigint")
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    facts = (
-        batch["order_lines"]
-        .select(
-            "order_id",
-            "line_id",
-            F.col("quantity").alias("ordered"),
-            one.alias("is_line"),
-            nothing.alias("returned"),
-            zero.alias("is_return"),
-        )
-        .unionByName(
-            batch["returns"].select(
-                "order_id",
-                "line_id",
-                nothing.alias("ordered"),
-                zero.alias("is_line"),
-                F.col("quantity").alias("returned"),
-                one.alias("is_return"),
-            )
-        )
-        .groupBy("order_id", "line_id")
-        .agg(
-            F.max("ordered").alias("ordered_quantity"),
-            F.sum("is_line").alias("lines"),
-            F.sum("returned").alias("returned_quantity"),
-            F.sum("is_return").alias("returns"),
-        )
-    )
-    # Rows with a null key part group together but never match a line: they are orphans.
-    keyed = F.col("order_id").isNotNull() & F.col("line_id").isNotNull()
-    entity = entity_key(F.col("order_id"), F.col("line_id"))
-    returned = keyed & (F.col("lines") > 0) & (F.col("returns") > 0)
-    return _emit(
-        facts,
-        ("DUPLICATE_ID", entity, F.col("lines") > 1),
-        ("RETURN_QUANTITY", entity, returned & unless(gates.return_is_covered())),
-    )
-
-
 def _dimension_grain(batch: Batch) -> DataFrame:
     entity, matches = F.col("product_id"), F.col("dimension_matches")
     return _emit(
@@ -133,7 +87,7 @@ def _dimension_grain(batch: Batch) -> DataFrame:
 def _return_grain(batch: Batch) -> DataFrame:
     checked = lookup_join(
         batch["returns"],
-        agg.line_keys(batch["order_lines"]).withColumn("has_line", F.lit(True)),
+        agg.returned_lines(batch).withColumn("has_line", F.lit(True)),
         ["order_id", "line_id"],
         "left",
         batch.hot("returns", "order_id", "line_id"),
@@ -148,24 +102,19 @@ def _return_grain(batch: Batch) -> DataFrame:
 
 def violation_report(batch: Batch) -> DataFrame:
     """All violations of the batch (code, entity_id, message), duplicates kept."""
-    duplicates = [
-        gates.duplicate_ids(batch[table], table)
-        for table in IDENTITY_KEYS
-        if table != "order_lines"
-    ]
     return reduce(
         DataFrame.unionByName,
         [
             _order_grain(batch),
             _line_row_grain(batch),
-            _line_key_grain(batch),
             _dimension_grain(batch),
             _return_grain(batch),
             gates.gate_orphan_line(batch),
             gates.gate_orphan_payment(batch),
+            gates.gate_return_quantity(batch),
             gates.gate_excess_refund(batch),
             gates.gate_negative_inventory(batch),
-            *duplicates,
+            gates.gate_duplicate_id(batch),
         ],
     )
 

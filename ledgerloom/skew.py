@@ -29,13 +29,19 @@ DEFAULT_POLICY = SkewPolicy()
 
 
 def hot_keys(
-    frame: DataFrame, keys: Sequence[str], policy: SkewPolicy = DEFAULT_POLICY
+    frame: DataFrame,
+    keys: Sequence[str],
+    policy: SkewPolicy = DEFAULT_POLICY,
+    rows: int | None = None,
 ) -> DataFrame | None:
     """The heaviest keys as a literal frame of at most `max_hot_keys` rows, None when there are none.
 
-    One job over a sample of the key columns. The keys are pinned as literals, so the two sides of a
-    split can never disagree about them, not even after an executor is lost.
+    A frame of fewer rows than make a key hot has none; its count is metadata for Parquet. Otherwise
+    one job counts keys on a sample of the key columns. The keys are pinned as literals, so the two
+    sides of a split can never disagree about them, not even after an executor is lost.
     """
+    if (frame.count() if rows is None else rows) < policy.hot_rows:
+        return None
     sampled = frame.select(*keys)
     fraction = min(1.0, policy.sample_fraction)
     if fraction < 1.0:
@@ -48,10 +54,10 @@ def hot_keys(
         .limit(policy.max_hot_keys)
         .select(*keys)
     )
-    rows = found.collect()
-    if not rows:
+    heaviest = found.collect()
+    if not heaviest:
         return None
-    return frame.sparkSession.createDataFrame(rows, found.schema)
+    return frame.sparkSession.createDataFrame(heaviest, found.schema)
 
 
 def split_hot(frame: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
