@@ -102,13 +102,23 @@ def object_proof(declared: DataFrame, stored: DataFrame, keys: Sequence[str] = (
     return joined.select(*keys, reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
+def _open_file(path: str) -> pa.NativeFile:
+    """The file behind a Hadoop path, whose name may hold characters a URI may not."""
+    scheme, rest = path.split(":", 1)
+    inside = rest.lstrip("/")
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_stream("/" + inside)
+    authority, _, key = inside.partition("/")
+    store, base = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{authority}/")
+    return store.open_input_stream(f"{base.rstrip('/')}/{key}")
+
+
 def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests = []
         for path in batch.column("path").to_pylist():
-            store, inside = fs.FileSystem.from_uri(path)
             digest = hashlib.sha256()
-            with store.open_input_stream(inside) as stream:
+            with _open_file(path) as stream:
                 while block := stream.read(BLOCK_BYTES):
                     digest.update(block)
             digests.append(digest.hexdigest())
@@ -122,15 +132,13 @@ def file_inventory(spark: SparkSession, paths: str | Sequence[str], pattern: str
     """(path, size_bytes, sha256) of every file below the given paths.
 
     Spark lists the files without reading them; each task then hashes its share block by block, so a
-    file never has to fit in memory, as it would in a binary column.
+    file never has to fit in memory, as it would in a binary column. Empty files are not listed: no
+    Spark file source shows them, and an object proof needs a size of at least 1.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    listed = reader.load(paths).select(
-        F.regexp_replace("path", r"^file:/+", "file:///").alias("path"),
-        F.col("length").alias("size_bytes"),
-    )
+    listed = reader.load(paths).select("path", F.col("length").alias("size_bytes"))
     spread = listed.repartition(
         max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "path"
     )

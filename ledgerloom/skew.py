@@ -54,8 +54,8 @@ def hot_keys(
         .limit(policy.max_hot_keys)
         .select(*keys)
     )
-    heaviest = found.collect()
-    if not heaviest:
+    heaviest = found.toArrow()
+    if heaviest.num_rows == 0:
         return None
     return frame.sparkSession.createDataFrame(heaviest, found.schema)
 

@@ -98,6 +98,9 @@ def all_evidence(spark: SparkSession, root: str) -> DataFrame:
             T.StructField("attempt", T.LongType()),
         ]
     )
+    files, folder = _hadoop_path(spark, f"{root}/_evidence")
+    if not files.exists(folder):
+        return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema).json(f"{root}/_evidence")
     latest = rows.groupBy("generation_id").agg(F.max("attempt").alias("attempt"))
     return rows.join(latest, ["generation_id", "attempt"])

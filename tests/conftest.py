@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, 4)
+    session = local_session(8, 2)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
+
 from ledgerloom.batch import Batch
-from ledgerloom.schemas import SCHEMAS
+from ledgerloom.schemas import SCHEMAS, STRING
 from ledgerloom.skew import DEFAULT_POLICY, SkewPolicy
 
 START = 1_700_000_000
@@ -58,7 +60,12 @@ def golden_rows(orders: int = 30, seed: int = 21) -> dict[str, list[tuple]]:
 def as_batch(
     spark, rows: dict[str, list[tuple]], policy: SkewPolicy = DEFAULT_POLICY, knowledge=KNOWLEDGE
 ) -> Batch:
-    frames = {name: spark.createDataFrame(rows[name], SCHEMAS[name]) for name in SCHEMAS}
+    frames = {}
+    for name, schema in SCHEMAS.items():
+        columns = list(zip(*rows[name])) or [()] * len(schema.names)
+        kinds = [pa.string() if field.dataType == STRING else pa.int64() for field in schema.fields]
+        arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
+        frames[name] = spark.createDataFrame(pa.table(arrays, names=schema.names), schema)
     return Batch(frames, knowledge, policy)
 
 
@@ -75,3 +82,19 @@ def added(rows: dict[str, list[tuple]], table: str, *more: tuple) -> dict[str, l
     copy = {name: list(table_rows) for name, table_rows in rows.items()}
     copy[table] += list(more)
     return copy
+
+
+def side_by_side(cases: dict[str, dict[str, list[tuple]]]) -> dict[str, list[tuple]]:
+    """Several batches as one: every id gets its case's name in front, so they do not interact."""
+    merged: dict[str, list[tuple]] = {name: [] for name in SCHEMAS}
+    for case, rows in cases.items():
+        for table, schema in SCHEMAS.items():
+            is_id = [name.endswith("_id") for name in schema.names]
+            merged[table] += [
+                tuple(
+                    f"{case}|{value}" if marked and value is not None else value
+                    for marked, value in zip(is_id, row)
+                )
+                for row in rows[table]
+            ]
+    return merged

@@ -67,8 +67,7 @@ def swap(log):
     return versions, outcomes
 
 
-@pytest.mark.parametrize("policy", POLICIES)
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed,policy", [(1, POLICIES[0]), (2, POLICIES[1])])
 def test_outcomes_equal_a_replay(spark, seed, policy):
     log = random_log(seed)
     states, steps = replay(log)
@@ -85,8 +84,9 @@ def test_outcomes_equal_a_replay(spark, seed, policy):
     }
 
 
-@pytest.mark.parametrize("policy", POLICIES)
-@pytest.mark.parametrize("seed,versions", [(1, 3), (2, 9)])
+@pytest.mark.parametrize(
+    "seed,versions,policy", [(1, 3, POLICIES[0]), (2, 9, POLICIES[0]), (2, 9, POLICIES[1])]
+)
 def test_pointer_swaps_equal_a_replay(spark, seed, versions, policy):
     log = random_log(seed, versions=versions)
     current, outcomes = swap(log)
@@ -101,12 +101,12 @@ def test_pointer_swaps_equal_a_replay(spark, seed, versions, policy):
 
 
 def test_long_chain_on_one_pointer(spark):
-    """A healthy pointer: every attempt is accepted, 300 links deep."""
-    log = [(1, n, n, "publish", "d", "v", n) for n in range(300)]
+    """A healthy pointer: every attempt is accepted, 70 links deep."""
+    log = [(1, n, n, "publish", "d", "v", n) for n in range(70)]
     frame = spark.createDataFrame(log, COLUMNS)
     found = lifecycle.pointer_cas(frame, POLICIES[1])
-    assert sorted(row["pointer_version"] for row in found.collect()) == list(range(1, 301))
-    assert lifecycle.retained_generations(frame, POLICIES[1]).count() == 299
+    assert sorted(row["pointer_version"] for row in found.collect()) == list(range(1, 71))
+    assert lifecycle.retained_generations(frame, POLICIES[1]).count() == 69
 
 
 def test_replay_conflict_and_recovery(spark):
