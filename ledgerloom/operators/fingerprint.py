@@ -28,28 +28,19 @@ def table_fingerprint(frame: DataFrame, *, escape: bool = True) -> DataFrame:
     if escape:
         text = text.select(canonical_escapes(F.col("text")).alias("text"))
     hashed = text.select(sha256_hex(F.col("text")).alias("h"))
-    words = hashed.select(
+    words = hashed.selectExpr(
         *[
-            F.conv(F.substring("h", 1 + word * WORD_DIGITS, WORD_DIGITS), 16, 10)
-            .cast("bigint")
-            .alias(f"w{word}")
+            f"cast(conv(substring(h, {1 + word * WORD_DIGITS}, {WORD_DIGITS}), 16, 10) as bigint) as w{word}"
             for word in range(WORDS)
         ]
     )
     lanes = [
-        F.coalesce(
-            F.sum(
-                F.shiftright(f"w{word}", lane * LANE_BITS).bitwiseAND(F.lit(2**LANE_BITS - 1))
-            ),
-            F.lit(0),
-        ).cast("string")
+        f"coalesce(sum(shiftright(w{word}, {lane * LANE_BITS}) & {2**LANE_BITS - 1}), 0)"
         for word in range(WORDS)
         for lane in reversed(range(LANES_PER_WORD))
     ]
-    rows = F.count(F.lit(1))
-    return words.agg(
-        rows.alias("rows"), sha256_hex(F.concat_ws(":", rows.cast("string"), *lanes)).alias("fingerprint")
-    )
+    digest = f"sha2(concat_ws(':', count(1), {', '.join(lanes)}), 256)"
+    return words.agg(F.count(F.lit(1)).alias("rows"), F.expr(digest).alias("fingerprint"))
 
 
 def table_fingerprints(tables: dict[str, DataFrame], *, escape: bool = True) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from ledgerloom.operators.fingerprint import table_fingerprints
 from ledgerloom.operators.proofs import fingerprint_proof, row_count_proof
 from ledgerloom.plans.report import assert_valid
 from ledgerloom.schemas import TABLES
+from ledgerloom.session import literal_frame
 from ledgerloom.sources.batch_files import ManifestError, check_manifest
 from ledgerloom.sources.generations import (
     PublicationError,
@@ -22,7 +24,6 @@ from ledgerloom.sources.generations import (
     commit_pointer,
     generation_evidence,
     pinned_read,
-    pointer_versions,
     write_generation,
 )
 
@@ -35,8 +36,11 @@ class BuildResult:
 
 
 def generation_id_of(spark: SparkSession, document: dict) -> str:
-    identity = spark.createDataFrame(
-        [(document["batch_id"], document["identity_digest"])], "batch_id string, digest string"
+    identity = literal_frame(
+        spark,
+        [{"batch_id": document["batch_id"], "digest": document["identity_digest"]}],
+        batch_id=pa.string(),
+        digest=pa.string(),
     )
     return identity.select(
         generation_id_column(F.col("batch_id"), F.col("digest")).alias("id")
@@ -46,15 +50,18 @@ def generation_id_of(spark: SparkSession, document: dict) -> str:
 def verify_tables(document: dict, batch: Batch) -> None:
     """Row counts and content digests of all six tables against the manifest, in one pass each."""
     spark = batch["orders"].sparkSession
-    declared = spark.createDataFrame(
-        [(name, proof["rows"], proof["sha256"]) for name, proof in document["tables"].items()],
-        "table_name string, rows bigint, fingerprint string",
+    kinds = {"table_name": pa.string(), "rows": pa.int64(), "fingerprint": pa.string()}
+    declared = literal_frame(
+        spark,
+        [
+            {"table_name": name, "rows": proof["rows"], "fingerprint": proof["sha256"]}
+            for name, proof in document["tables"].items()
+        ],
+        **kinds,
     )
     # Six rows: taken to the driver once, so that the tables are hashed once for both checks.
-    actual = spark.createDataFrame(
-        table_fingerprints({name: batch[name] for name in TABLES}).collect(),
-        "table_name string, rows bigint, fingerprint string",
-    )
+    hashed = table_fingerprints({name: batch[name] for name in TABLES}).collect()
+    actual = literal_frame(spark, [row.asDict() for row in hashed], **kinds)
     wrong = row_count_proof(declared, actual).collect()
     if wrong:
         raise ManifestError(f"ROW_COUNT: {sorted(row['table_name'] for row in wrong)}")
@@ -125,7 +132,14 @@ def verify_published(spark: SparkSession, root: str) -> DataFrame:
     """
     recorded = all_evidence(spark, root)
     generations = [row["generation_id"] for row in recorded.select("generation_id").distinct().collect()]
-    problems = spark.createDataFrame([], "generation_id string, table_name string, problem string")
+    kinds = {"generation_id": pa.string(), "table_name": pa.string(), "problem": pa.string()}
+    active, _ = active_pointer(spark, root)
+    lost = [] if active is None or active in generations else [active]
+    problems = literal_frame(
+        spark,
+        [{"generation_id": name, "problem": "POINTER_TO_MISSING_GENERATION"} for name in lost],
+        **kinds,
+    )
     for generation in generations:
         tables = {
             name: frame.drop("generation_id")
@@ -143,12 +157,4 @@ def verify_published(spark: SparkSession, root: str) -> DataFrame:
         problems = problems.unionByName(
             differing.select("generation_id", "table_name", F.lit("DIGEST_MISMATCH").alias("problem"))
         )
-    active, _ = active_pointer(spark, root) if pointer_versions(spark, root) else (None, 0)
-    if active is not None and active not in generations:
-        problems = problems.unionByName(
-            spark.createDataFrame(
-                [(active, None, "POINTER_TO_MISSING_GENERATION")],
-                "generation_id string, table_name string, problem string",
-            )
-        )
     return problems

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -16,6 +18,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -44,3 +47,8 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder, never reused."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def literal_frame(spark: SparkSession, values: Iterable[dict], /, **columns: pa.DataType) -> DataFrame:
+    """A handful of metadata rows as a literal relation, which needs no job of its own."""
+    return spark.createDataFrame(pa.Table.from_pylist(list(values), pa.schema(columns)))

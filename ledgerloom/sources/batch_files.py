@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import canonical_row_json, manifest_digest
 from ledgerloom.schemas import CONTRACT_VERSION, MANIFEST, SCHEMAS, TABLES
+from ledgerloom.session import literal_frame
 
 
 class ManifestError(ValueError):
@@ -96,10 +99,8 @@ def check_manifest(
 
 def write_manifest(spark: SparkSession, document: dict, folder: str) -> None:
     """One JSON document per manifest, as a one-line text file."""
-    import json
-
     line = json.dumps(document, sort_keys=True, separators=(",", ":"))
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(folder)
+    literal_frame(spark, [{"value": line}], value=pa.string()).write.text(folder)
 
 
 def read_manifests(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -100,7 +100,7 @@ def all_evidence(spark: SparkSession, root: str) -> DataFrame:
     )
     files, folder = _hadoop_path(spark, f"{root}/_evidence")
     if not files.exists(folder):
-        return spark.createDataFrame([], schema)
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
     rows = spark.read.schema(schema).json(f"{root}/_evidence")
     latest = rows.groupBy("generation_id").agg(F.max("attempt").alias("attempt"))
     return rows.join(latest, ["generation_id", "attempt"])
