@@ -38,7 +38,8 @@ class Batch:
         return self.tables[table]
 
     def replace(self, **tables: DataFrame) -> Batch:
-        return Batch({**self.tables, **tables}, self.knowledge_time, self.policy)
+        kept = {name: self[name] for name in self.tables if name not in tables}
+        return Batch({**kept, **tables}, self.knowledge_time, self.policy)
 
     def rows(self, table: str) -> int:
         if table not in self._rows:

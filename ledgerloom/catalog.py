@@ -112,7 +112,7 @@ def tag_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def temporal_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = faulted_batch(spark, sf_dir)
-    return temporal.temporal_match(temporal.line_events(batch), batch).drop("matched_product_id")
+    return temporal.temporal_match(temporal.line_events(batch), batch)
 
 
 @query

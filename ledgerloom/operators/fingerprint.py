@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,8 +15,10 @@ WORDS, WORD_DIGITS = 4, 15
 LANES_PER_WORD, LANE_BITS = 3, 20
 
 
-def table_fingerprint(frame: DataFrame, *, escape: bool = True) -> DataFrame:
-    """One row (rows, fingerprint); copies count.
+def table_fingerprint(
+    frame: DataFrame, *, by: Sequence[str] = (), escape: bool = True
+) -> DataFrame:
+    """(rows, fingerprint) of the whole table, or of each group of `by`; copies count.
 
     Each row's sha256 is cut into 20-bit lanes and the lanes are summed over all rows, so the digest
     is a plain map-side aggregate: nothing is shuffled but one partial row per task, and identical
@@ -24,11 +27,13 @@ def table_fingerprint(frame: DataFrame, *, escape: bool = True) -> DataFrame:
     forger who picks the rows is left to the sha256 of each file.
     """
     # One projection per step: a value used by several lanes is computed once.
-    text = frame.select(ordered_json(frame, escape=escape).alias("text"))
+    hashed_columns = [name for name in frame.columns if name not in by]
+    text = frame.select(*by, ordered_json(frame, hashed_columns, escape=escape).alias("text"))
     if escape:
-        text = text.select(canonical_escapes(F.col("text")).alias("text"))
-    hashed = text.select(sha256_hex(F.col("text")).alias("h"))
+        text = text.select(*by, canonical_escapes(F.col("text")).alias("text"))
+    hashed = text.select(*by, sha256_hex(F.col("text")).alias("h"))
     words = hashed.selectExpr(
+        *by,
         *[
             f"cast(conv(substring(h, {1 + word * WORD_DIGITS}, {WORD_DIGITS}), 16, 10) as bigint) as w{word}"
             for word in range(WORDS)
@@ -40,7 +45,9 @@ def table_fingerprint(frame: DataFrame, *, escape: bool = True) -> DataFrame:
         for lane in reversed(range(LANES_PER_WORD))
     ]
     digest = f"sha2(concat_ws(':', count(1), {', '.join(lanes)}), 256)"
-    return words.agg(F.count(F.lit(1)).alias("rows"), F.expr(digest).alias("fingerprint"))
+    return words.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(digest).alias("fingerprint")
+    )
 
 
 def table_fingerprints(tables: dict[str, DataFrame], *, escape: bool = True) -> DataFrame:

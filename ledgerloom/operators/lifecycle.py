@@ -31,8 +31,8 @@ REGISTER, START_BUILD, VALIDATE, PUBLISH, FAIL = (
     "fail",
 )
 
-# Pointers with more attempts than about this are not folded in one array.
-FOLD_ATTEMPTS = 20_000
+# With any pointer of more attempts than about this, attempts are not folded in arrays.
+FOLD_ATTEMPTS = 5_000
 
 
 def registry(log: DataFrame) -> DataFrame:
@@ -207,7 +207,7 @@ def replay_classification(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -
 
 
 def _folded_acceptances(attempts: DataFrame) -> DataFrame:
-    """Compare-and-swap over pointers with few attempts: one ordered pass over a bounded array."""
+    """Compare-and-swap where every pointer has few attempts: one ordered pass over a short array."""
     ordered = F.sort_array(F.collect_list(F.struct("seq", "expected")))
     start = F.struct(
         F.lit(0).cast("bigint").alias("version"),
@@ -293,13 +293,10 @@ def pointer_cas(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFram
         "expected", F.col("expected_pointer_version").cast("bigint")
     )
     fold_policy = replace(policy, hot_rows=min(policy.hot_rows, FOLD_ATTEMPTS))
-    hot = hot_keys(attempts, ["pointer_id"], fold_policy)
-    if hot is None:
+    if hot_keys(attempts, ["pointer_id"], fold_policy) is None:
         accepted = _folded_acceptances(attempts)
     else:
-        few = attempts.join(F.broadcast(hot), "pointer_id", "left_anti")
-        many = attempts.join(F.broadcast(hot), "pointer_id", "left_semi")
-        accepted = _folded_acceptances(few).unionByName(_chained_acceptances(many, policy))
+        accepted = _chained_acceptances(attempts, policy)
     marked = attempts.join(
         accepted.withColumn("hit", F.lit(True)), ["pointer_id", "seq"], "left"
     )

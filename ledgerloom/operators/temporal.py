@@ -36,8 +36,7 @@ def line_events(batch: Batch, *measures: Column) -> DataFrame:
     return joined.select(*EVENT).distinct()
 
 
-def temporal_match(events: DataFrame, batch: Batch) -> DataFrame:
-    """Every event with each known version valid at its time, or with nulls when there is none."""
+def _joined(events: DataFrame, batch: Batch, how: str) -> DataFrame:
     versions = known_versions(batch["products"], batch.knowledge_time).select(
         F.col("product_id").alias("matched_product_id"), *VERSION
     )
@@ -46,7 +45,23 @@ def temporal_match(events: DataFrame, batch: Batch) -> DataFrame:
     condition = (F.col("product_id") == F.col("matched_product_id")) & valid_at(
         F.col("effective_from"), F.col("effective_to"), F.col("order_ts")
     )
-    return events.join(versions, condition, "left")
+    return events.join(versions, condition, how)
+
+
+def temporal_match(events: DataFrame, batch: Batch) -> DataFrame:
+    """Every event with each known version valid at its time, or with nulls when there is none.
+
+    A small dimension is broadcast. Otherwise the sweep settles the events with at most one version,
+    and only the ambiguous ones, which a sound batch does not have, meet their versions in a join.
+    """
+    if batch.dimension_is_small():
+        return _joined(events, batch, "left").drop("matched_product_id")
+    counted = _swept(events, batch)
+    settled = counted.filter(F.col("dimension_matches") <= 1).drop("dimension_matches")
+    ambiguous = counted.filter(F.col("dimension_matches") > 1).select(*events.columns)
+    return settled.unionByName(
+        _joined(ambiguous, batch, "inner").select(*events.columns, *VERSION)
+    )
 
 
 def dimension_matches(events: DataFrame, batch: Batch) -> DataFrame:
@@ -58,7 +73,7 @@ def dimension_matches(events: DataFrame, batch: Batch) -> DataFrame:
     """
     carried = events.columns
     if batch.dimension_is_small():
-        matches = temporal_match(events, batch)
+        matches = _joined(events, batch, "left")
         counted = matches.groupBy(*carried).agg(
             F.count("matched_product_id").alias("dimension_matches"),
             F.max(F.struct(*VERSION)).alias("version"),

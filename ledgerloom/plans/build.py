@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.batch import Batch
 from ledgerloom.functions.predicates import unless
 from ledgerloom.functions.text import generation_id as generation_id_column
-from ledgerloom.operators.fingerprint import table_fingerprints
+from ledgerloom.operators.fingerprint import table_fingerprint, table_fingerprints
 from ledgerloom.operators.proofs import fingerprint_proof, row_count_proof
 from ledgerloom.plans.report import assert_valid
 from ledgerloom.schemas import TABLES
@@ -24,6 +24,7 @@ from ledgerloom.sources.generations import (
     commit_pointer,
     generation_evidence,
     pinned_read,
+    read_all_attempts,
     write_generation,
 )
 
@@ -128,31 +129,35 @@ def serve(spark: SparkSession, root: str) -> tuple[str, dict[str, DataFrame]]:
 def verify_published(spark: SparkSession, root: str) -> DataFrame:
     """(generation_id, table_name, problem): content that no longer matches its evidence.
 
-    The loop is over generations, whose tables are each re-hashed by a distributed job.
+    One distributed pass per table re-hashes all its generations; the loop is over the six tables
+    (more only if a table's columns changed between generations).
     """
     recorded = all_evidence(spark, root)
-    generations = [row["generation_id"] for row in recorded.select("generation_id").distinct().collect()]
     kinds = {"generation_id": pa.string(), "table_name": pa.string(), "problem": pa.string()}
     active, _ = active_pointer(spark, root)
-    lost = [] if active is None or active in generations else [active]
+    known = active is None or not recorded.filter(F.col("generation_id") == active).isEmpty()
     problems = literal_frame(
         spark,
-        [{"generation_id": name, "problem": "POINTER_TO_MISSING_GENERATION"} for name in lost],
+        [] if known else [{"generation_id": active, "problem": "POINTER_TO_MISSING_GENERATION"}],
         **kinds,
     )
-    for generation in generations:
-        tables = {
-            name: frame.drop("generation_id")
-            for name, frame in pinned_read(spark, root, generation).items()
-        }
-        actual = table_fingerprints(tables).select(
-            "table_name", F.col("fingerprint").alias("actual"), F.col("rows").alias("actual_rows")
+    for table, columns in recorded.select("table_name", "columns").distinct().collect():
+        expected = recorded.filter(
+            (F.col("table_name") == table) & (F.col("columns") == columns)
+        ).select("generation_id", "attempt", "table_name", "rows", "fingerprint")
+        rows = read_all_attempts(spark, root, table, columns).join(
+            expected.select("generation_id", "attempt"), ["generation_id", "attempt"], "left_semi"
         )
-        expected = recorded.filter(F.col("generation_id") == generation)
-        differing = expected.join(actual, "table_name", "left").filter(
-            unless(
-                (F.col("fingerprint") == F.col("actual")) & (F.col("rows") == F.col("actual_rows"))
-            )
+        actual = table_fingerprint(rows, by=["generation_id", "attempt"]).select(
+            "generation_id",
+            "attempt",
+            F.col("rows").alias("actual_rows"),
+            F.col("fingerprint").alias("actual"),
+        )
+        both_empty = (F.col("rows") == 0) & F.col("actual_rows").isNull()
+        same = (F.col("rows") == F.col("actual_rows")) & (F.col("fingerprint") == F.col("actual"))
+        differing = expected.join(actual, ["generation_id", "attempt"], "left").filter(
+            unless(both_empty | same)
         )
         problems = problems.unionByName(
             differing.select("generation_id", "table_name", F.lit("DIGEST_MISMATCH").alias("problem"))

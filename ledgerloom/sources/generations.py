@@ -59,6 +59,15 @@ def read_attempt(
     return tag_generation(rows, generation_id)
 
 
+def read_all_attempts(
+    spark: SparkSession, root: str, table: str, columns: str
+) -> DataFrame:
+    """One table over every generation and attempt; both are partition columns."""
+    schema = T.StructType.fromJson(json.loads(columns))
+    schema = schema.add("generation_id", T.StringType()).add("attempt", T.LongType())
+    return spark.read.schema(schema).parquet(f"{root}/{table}")
+
+
 def write_generation(
     tables: dict[str, DataFrame],
     root: str,

@@ -162,3 +162,13 @@ def test_lifecycle_splits_hot_batches(spark, small, name):
     log = action_log(spark, small)
     operator = getattr(lifecycle, name)
     assert rows_of(operator(log, SOME_HOT)) == rows_of(operator(log))
+
+
+def test_temporal_match_without_a_small_dimension(spark, small):
+    batch = faulted_batch(spark, small)
+    large = batch.replace()
+    large.BROADCAST_VERSIONS = 0
+    events = temporal.line_events(batch)
+    assert rows_of(temporal.temporal_match(events, large)) == rows_of(
+        temporal.temporal_match(events, batch)
+    )
