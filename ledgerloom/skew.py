@@ -43,7 +43,8 @@ def hot_keys(
     if (frame.count() if rows is None else rows) < policy.hot_rows:
         return None
     sampled = frame.select(*keys)
-    fraction = min(1.0, policy.sample_fraction)
+    # A hot key must show up with a thousand sampled rows or so, whatever the threshold.
+    fraction = min(1.0, max(policy.sample_fraction, 1000 / policy.hot_rows))
     if fraction < 1.0:
         sampled = sampled.sample(fraction, seed=7)
     found = (
