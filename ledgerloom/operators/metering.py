@@ -66,20 +66,27 @@ def usage_metering(job_runs: DataFrame, scans: DataFrame) -> DataFrame:
     """
     workers = F.coalesce(F.col("workers"), F.lit(DEFAULT_WORKERS)).cast("double")
     estimated = F.coalesce(F.col("execution_seconds"), F.lit(0)).cast("double") * workers
-    compute = job_runs.agg(
-        F.count(F.lit(1)).alias("job_runs"),
-        F.coalesce(F.sum(F.coalesce(F.col("dpu_seconds"), estimated)), F.lit(0.0)).alias("dpu"),
+    # Runs and scans stacked, so that one aggregation gives the one row.
+    usage = job_runs.select(
+        F.lit(1).cast("bigint").alias("is_run"),
+        F.coalesce(F.col("dpu_seconds"), estimated).alias("dpu"),
+        F.lit(None).cast("bigint").alias("bytes"),
+    ).unionByName(
+        scans.select(
+            F.lit(0).cast("bigint").alias("is_run"),
+            F.lit(None).cast("double").alias("dpu"),
+            F.col("bytes").cast("bigint").alias("bytes"),
+        )
     )
     used = F.col("bytes") > 0
-    scanned = scans.agg(
+    billable = F.when(used, F.greatest(F.col("bytes"), F.lit(MINIMUM_SCAN_BYTES)))
+    both = usage.agg(
+        F.coalesce(F.sum("is_run"), F.lit(0)).alias("job_runs"),
+        F.coalesce(F.sum("dpu"), F.lit(0.0)).alias("dpu"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes_scanned"),
         F.count(F.when(used, 1)).alias("scans"),
-        F.coalesce(
-            F.sum(F.when(used, F.greatest(F.col("bytes"), F.lit(MINIMUM_SCAN_BYTES)))), F.lit(0)
-        ).alias("billable_bytes"),
+        F.coalesce(F.sum(billable), F.lit(0)).alias("billable_bytes"),
     )
-    # Two one-row aggregates side by side, keyed by a constant.
-    both = compute.withColumn("one", F.lit(1)).join(scanned.withColumn("one", F.lit(1)), "one")
     compute_usd = F.col("dpu") / 3600 * USD_PER_DPU_HOUR
     scan_usd = F.col("billable_bytes") / F.lit(float(BYTES_PER_TERABYTE)) * USD_PER_TERABYTE
     return both.select(
