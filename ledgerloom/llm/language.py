@@ -29,8 +29,8 @@ UNKNOWN = "und"
 #: Characters that are worked on at once; a longer text is worked on in pieces of this size.
 BATCH_CHARS = 1_000_000
 BATCH_TEXTS = 512
-#: How far back a long text's pieces look for a character that is no letter.
-LONGEST_WORD = 4096
+#: Distinct trigrams that are bundled at once; writing with many letters has more of them in a batch.
+TRIGRAMS = 16_384
 #: Distinct code triples that may be counted by a table rather than by sorting.
 TABLE = 1 << 21
 SEPARATOR = 0
@@ -58,9 +58,10 @@ def _codes(text: str) -> np.ndarray:
     return framed[keep]
 
 
-def _count(texts: list[str], owners: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(owners x distinct trigrams) counts, the trigrams as code points, and each owner's letters."""
-    streams = [_codes(text) for text in texts]
+def _trigrams(
+    streams: list[np.ndarray], owners: np.ndarray, count: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Owner and number of every trigram, the distinct ones as code points, which owners have letters."""
     sizes = np.asarray([len(s) for s in streams])
     stream = np.concatenate(streams)
     number = np.zeros(0x110000, np.int32)
@@ -70,7 +71,7 @@ def _count(texts: list[str], owners: np.ndarray, count: int) -> tuple[np.ndarray
     number[used] = np.arange(width, dtype=np.int32)
     symbols = number[stream]
     owner = np.repeat(owners, sizes)
-    letters = np.bincount(owner, weights=stream != SEPARATOR, minlength=count)
+    letters = np.bincount(owner, weights=stream != SEPARATOR, minlength=count) > 0
     # Triples that begin with the last two codes of a text would run into the next one.
     inside = np.ones(max(0, len(stream) - 2), bool)
     ends = np.cumsum(sizes)[:-1]
@@ -87,29 +88,33 @@ def _count(texts: list[str], owners: np.ndarray, count: int) -> tuple[np.ndarray
         column = place[triples]
     else:
         distinct, column = np.unique(triples, return_inverse=True)
-    cells = owner * len(distinct) + column
-    counts = np.bincount(cells, minlength=count * len(distinct)).reshape(count, -1)
     parts = np.stack([distinct // width**2, distinct // width % width, distinct % width])
-    return counts, used[parts], letters
-
-
-def _bundled(texts: list[str], owners: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sum of the trigram vectors of each owner's texts, and their letters; one batch."""
-    counts, trigrams, letters = _count(texts, np.asarray(owners), count)
-    if not trigrams.size:
-        return np.zeros((count, DIMENSION)), letters
-    codes, places = np.unique(trigrams, return_inverse=True)
-    basis = np.stack([letter_vector(int(code)) for code in codes])
-    first, second, third = places.reshape(trigrams.shape)
-    bound = np.roll(basis, 2, axis=1)[first] * np.roll(basis, 1, axis=1)[second] * basis[third]
-    # Whole numbers below 2 ** 24, which single precision holds exactly: a batch has fewer characters.
-    return counts.astype(np.float32) @ bound.astype(np.float32), letters
+    return owner, column, used[parts], letters
+
+
+def _bundled(streams: list[np.ndarray], owners: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of the trigram vectors of each owner's streams, and which have letters; one batch."""
+    owner, column, trigrams, letters = _trigrams(streams, np.asarray(owners), count)
+    total = np.zeros((count, DIMENSION), np.float32)
+    for begin in range(0, trigrams.shape[1], TRIGRAMS):
+        part = trigrams[:, begin : begin + TRIGRAMS]
+        size = part.shape[1]
+        here = slice(None) if size == trigrams.shape[1] else (column >= begin) & (column < begin + size)
+        cells = owner[here] * size + (column[here] - begin)
+        counts = np.bincount(cells, minlength=count * size).reshape(count, size)
+        codes, places = np.unique(part, return_inverse=True)
+        basis = np.stack([letter_vector(int(code)) for code in codes])
+        first, second, third = places.reshape(part.shape)
+        bound = np.roll(basis, 2, axis=1)[first] * np.roll(basis, 1, axis=1)[second] * basis[third]
+        # Whole numbers below 2 ** 24, which single precision holds exactly: a batch has fewer characters.
+        total += counts.astype(np.float32) @ bound.astype(np.float32)
+    return total, letters
 
 
 def bundle(texts: list[str | None], owners: list[int], count: int) -> tuple[np.ndarray, np.ndarray]:
-    """(count x DIMENSION) sums of the trigram vectors of each owner's texts, and their letters."""
-    vectors, letters = np.zeros((count, DIMENSION), np.int64), np.zeros(count)
-    batch: list[tuple[int, str]] = []
+    """(count x DIMENSION) sums of the trigram vectors of each owner's texts, and which have letters."""
+    vectors, letters = np.zeros((count, DIMENSION), np.int64), np.zeros(count, bool)
+    batch: list[tuple[int, np.ndarray]] = []
     held = 0
 
     def add() -> None:
@@ -118,37 +123,22 @@ def bundle(texts: list[str | None], owners: list[int], count: int) -> tuple[np.n
             own, local = np.unique([owner for owner, _ in batch], return_inverse=True)
             found, counted = _bundled([piece for _, piece in batch], local, len(own))
             vectors[own] += found.astype(np.int64)
-            letters[own] += counted
+            letters[own] |= counted
             batch.clear()
             held = 0
 
     for owner, text in zip(owners, texts, strict=True):
-        for begin, piece in _split(text or ""):
-            batch.append((owner, piece))
-            held += len(piece)
+        stream = _codes(text or "")
+        for begin in range(0, max(1, len(stream) - 2), BATCH_CHARS):
+            # Pieces of a long text overlap by two codes, so that each trigram is in one of them.
+            batch.append((owner, stream[begin : begin + BATCH_CHARS + 2]))
+            held += len(batch[-1][1])
             if held >= BATCH_CHARS or len(batch) >= BATCH_TEXTS:
                 add()
     add()
     return vectors, letters
 
 
-def _split(text: str) -> Iterator[tuple[int, str]]:
-    """The text, or pieces of a long one, cut behind a character that is no letter where there is one.
-
-    Letter runs longer than a piece are cut where they are; only the trigrams across that cut are lost.
-    """
-    begin = 0
-    while begin < len(text):
-        end = min(len(text), begin + BATCH_CHARS)
-        cut = end
-        while cut < len(text) and cut > end - LONGEST_WORD and text[cut - 1].isalpha():
-            cut -= 1
-        if cut < len(text) and cut > end - LONGEST_WORD:
-            end = cut
-        yield begin, text[begin:end]
-        begin = end
-
-
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per language of a partition: the sum of its documents' vectors."""
     sums: dict[str, np.ndarray] = {}
@@ -215,8 +205,7 @@ def predict(
 
 
 def _judged(part: pa.RecordBatch, names: list[str], matrix: np.ndarray) -> pa.RecordBatch:
-    vectors, letters = bundle(part.column("text").to_pylist(), list(range(part.num_rows)), part.num_rows)
-    has_letters = letters > 0
+    vectors, has_letters = bundle(part.column("text").to_pylist(), list(range(part.num_rows)), part.num_rows)
     langs, scores = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
     if names and part.num_rows:
         norms = np.linalg.norm(vectors.astype(np.float64), axis=1, keepdims=True)
