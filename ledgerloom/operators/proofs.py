@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.predicates import unless
 from ledgerloom.functions.text import etag_normalize
 
-BLOCK_BYTES = 8 * 1024 * 1024
-
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(
@@ -64,12 +59,17 @@ def manifest_table_set(declared: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def table_set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Set difference both ways; empty when the sets are equal."""
-    return (
-        left.subtract(right)
-        .withColumn("only_in", F.lit("left"))
-        .unionByName(right.subtract(left).withColumn("only_in", F.lit("right")))
+    """Set difference both ways; empty when the sets are equal. Nulls are compared as values.
+
+    Both sets meet in one aggregation: a row is in one of them only if its sides' extremes agree.
+    """
+    sides = left.withColumn("only_in", F.lit("left")).unionByName(
+        right.withColumn("only_in", F.lit("right"))
     )
+    met = sides.groupBy(*left.columns).agg(
+        F.min("only_in").alias("only_in"), F.max("only_in").alias("other_side")
+    )
+    return met.filter(F.col("only_in") == F.col("other_side")).drop("other_side")
 
 
 def object_proof(declared: DataFrame, stored: DataFrame, keys: Sequence[str] = ("bucket", "key", "version_id")) -> DataFrame:
@@ -102,47 +102,22 @@ def object_proof(declared: DataFrame, stored: DataFrame, keys: Sequence[str] = (
     return joined.select(*keys, reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
-def _open_file(path: str) -> pa.NativeFile:
-    """The file behind a Hadoop path, whose name may hold characters a URI may not."""
-    scheme, rest = path.split(":", 1)
-    inside = rest.lstrip("/")
-    if scheme == "file":
-        return fs.LocalFileSystem().open_input_stream("/" + inside)
-    authority, _, key = inside.partition("/")
-    store, base = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{authority}/")
-    return store.open_input_stream(f"{base.rstrip('/')}/{key}")
-
-
-def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        digests = []
-        for path in batch.column("path").to_pylist():
-            digest = hashlib.sha256()
-            with _open_file(path) as stream:
-                while block := stream.read(BLOCK_BYTES):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("path"), batch.column("size_bytes"), pa.array(digests, pa.string())],
-            names=["path", "size_bytes", "sha256"],
-        )
-
-
 def file_inventory(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
-    """(path, size_bytes, sha256) of every file below the given paths.
+    """(path, size_bytes, sha256) of every file below the given paths, size and digest of what was read.
 
-    Spark lists the files without reading them; each task then hashes its share block by block, so a
-    file never has to fit in memory, as it would in a binary column. Empty files are not listed: no
-    Spark file source shows them, and an object proof needs a size of at least 1.
+    Spark lists and reads the files, so any store it can read from will do. A file is one row while it is
+    hashed, so it must fit into a task's memory and the 2 GB of a binary value; writers here bound the rows
+    per file. Empty files are not listed: no Spark file source shows them, and an object proof needs a size
+    of at least 1.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    listed = reader.load(paths).select("path", F.col("length").alias("size_bytes"))
-    spread = listed.repartition(
-        max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "path"
+    return reader.load(paths).select(
+        "path",
+        F.octet_length("content").cast("bigint").alias("size_bytes"),
+        F.sha2("content", 256).alias("sha256"),
     )
-    return spread.mapInArrow(_hash_files, "path string, size_bytes bigint, sha256 string")
 
 
 def content_inventory(frame: DataFrame, path: Column, content: Column) -> DataFrame:

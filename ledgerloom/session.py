@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -32,12 +35,20 @@ _OWN_DIRS: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: spark.checkpoint.dir, or a fresh one where it is unset."""
+    """The folder every executor can reach: spark.checkpoint.dir.
+
+    Only a session that runs in one process may do without it; it gets a temporary folder, removed when
+    the process ends.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         if context.applicationId not in _OWN_DIRS:
-            _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="ledgerloom-")
+            own = tempfile.mkdtemp(prefix="ledgerloom-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            _OWN_DIRS[context.applicationId] = own
         folder = _OWN_DIRS[context.applicationId]
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)

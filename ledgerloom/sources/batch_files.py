@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
@@ -10,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.text import canonical_row_json, manifest_digest
+from ledgerloom.functions.text import PATTERNS, canonical_row_json, manifest_digest
+from ledgerloom.operators.proofs import file_inventory
 from ledgerloom.schemas import CONTRACT_VERSION, MANIFEST, SCHEMAS, TABLES
 from ledgerloom.session import literal_frame
 
@@ -83,6 +85,68 @@ def build_manifest(
     return {**document, "identity_digest": manifest_digest(document)}
 
 
+def land_batch(
+    tables: Mapping[str, DataFrame], store: str, bucket: str, batch_id: str
+) -> dict[str, list[dict]]:
+    """Write the six tables below a store; returns the stored objects of each table with their proofs.
+
+    A folder has no object versions, so the start of the content's digest stands for one.
+    """
+    objects = {}
+    for name in TABLES:
+        folder = f"{batch_id}/{name}"
+        write_batch_table(tables[name], f"{store}/{bucket}/{folder}")
+        found = file_inventory(
+            tables[name].sparkSession, f"{store}/{bucket}/{folder}", "*.json.gz"
+        ).select(F.substring_index("path", "/", -1).alias("file"), "size_bytes", "sha256")
+        objects[name] = [
+            {
+                "bucket": bucket,
+                "key": f"{folder}/{row['file']}",
+                "version_id": row["sha256"][:16],
+                "size_bytes": row["size_bytes"],
+                "sha256": row["sha256"],
+                "etag": row["sha256"][:32],
+            }
+            for row in found.orderBy("file").collect()
+        ]
+    return objects
+
+
+def bind_objects(
+    document: dict, objects: Mapping[str, Sequence[Mapping[str, object]]]
+) -> dict:
+    """The manifest bound to the stored objects of each table, with its digest taken anew."""
+    if set(objects) != set(document["tables"]):
+        raise ManifestError("OBJECT_TABLE_SET: object tables do not match the manifest")
+    tables = {}
+    for name, proof in document["tables"].items():
+        if not objects[name]:
+            raise ManifestError(f"UNBOUND_TABLE: no objects registered for {name}")
+        tables[name] = {**proof, "objects": [dict(item) for item in objects[name]]}
+    bound = {**document, "tables": tables}
+    return {**bound, "identity_digest": manifest_digest(bound)}
+
+
+def check_objects(document: dict) -> None:
+    """Every table is bound to objects, each with a full identity and well-formed evidence."""
+    for name, proof in document["tables"].items():
+        if not proof.get("objects"):
+            raise ManifestError(f"UNBOUND_TABLE: table {name} is not bound to an object")
+        for item in proof["objects"]:
+            if not (item.get("bucket") and item.get("key") and item.get("version_id")):
+                raise ManifestError(f"OBJECT_IDENTITY: table {name} has an incomplete object identity")
+            size, digest = item.get("size_bytes"), item.get("sha256")
+            sized = isinstance(size, int) and size >= 1
+            if not sized or not re.fullmatch(PATTERNS["manifest_digest"], str(digest)):
+                raise ManifestError(f"OBJECT_EVIDENCE: table {name} has invalid object evidence")
+
+
+def object_path(store: str, item: Mapping[str, object]) -> str:
+    """Where an object lies below a store, such as s3a:/ or a folder of buckets."""
+    return f"{store}/{item['bucket']}/{item['key']}"
+
+
 def check_manifest(
     document: dict, *, batch_id: str | None = None, digest: str | None = None
 ) -> None:
@@ -93,6 +157,8 @@ def check_manifest(
     wrong_batch = batch_id is not None and document["batch_id"] != batch_id
     if wrong_batch or document["contract_version"] != CONTRACT_VERSION:
         raise ManifestError("MANIFEST_IDENTITY: batch id or contract version mismatch")
+    if not re.fullmatch(PATTERNS["batch_id"], str(document["batch_id"])):
+        raise ManifestError("MANIFEST_IDENTITY: malformed batch id")
     if set(document.get("tables", {})) != set(TABLES):
         raise ManifestError("MANIFEST_TABLE_SET: exactly six tables are required")
 

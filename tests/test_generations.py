@@ -20,16 +20,28 @@ from ledgerloom.sources import batch_files, generations, synthetic
 ROWS = golden_rows(12)
 
 
-def manifest_for(batch, batch_id="lab-001"):
+def manifest_for(batch, batch_id="lab-001", objects=None):
     tables = {name: batch[name] for name in TABLES}
     return batch_files.build_manifest(
         fingerprint.table_fingerprints(tables),
         batch_id=batch_id,
         produced_at=KNOWLEDGE,
         as_of_knowledge_time=KNOWLEDGE,
+        objects=objects,
     )
 
 
+def landed(batch, store, batch_id="lab-001"):
+    """The manifest of a batch whose six tables lie as files in the store."""
+    tables = {name: batch[name] for name in TABLES}
+    objects = batch_files.land_batch(tables, store, "landing", batch_id)
+    return batch_files.bind_objects(manifest_for(batch, batch_id), objects)
+
+
+def files_below(root):
+    return {str(f): f.stat().st_mtime_ns for f in Path(root).rglob("*") if f.is_file()}
+
+
 @pytest.fixture(scope="module")
 def batch(spark):
     return as_batch(spark, ROWS)
@@ -108,18 +120,30 @@ def test_fingerprint_ignores_order_and_counts_copies(spark, batch):
     assert fingerprint.table_fingerprint(edited).first() != one
 
 
-def test_build_publish_serve(spark, batch, document, tmp_path):
+@pytest.fixture(scope="module")
+def store(spark, batch, tmp_path_factory):
+    """A store with one landed batch, and its manifest."""
+    folder = f"file://{tmp_path_factory.mktemp('store')}"
+    return folder, landed(batch, folder)
+
+
+def test_build_publish_serve(spark, batch, store, tmp_path):
+    place, document = store
     root = str(tmp_path / "lake")
     with pytest.raises(generations.PublicationError, match="NO_ACTIVE_GENERATION"):
         serve(spark, root)
     with pytest.raises(RuntimeError, match="INJECTED_FAILURE"):
-        build_generation(document, batch, root, inject_failure=True)
+        build_generation(spark, document, place, root, inject_failure=True)
     assert generations.active_pointer(spark, root) == (None, 0)
 
-    built = build_generation(document, batch, root)
+    # The failed attempt stays invisible; the next call recovers with an attempt of its own.
+    built = build_generation(spark, document, place, root)
+    assert (built.status, built.attempt) == ("built", 2)
     assert {row["table_name"]: row["rows"] for row in built.evidence.collect()} == {
         name: len(ROWS[name]) for name in TABLES
     }
+    metrics = {row["metric"]: row["value"] for row in built.metrics.collect()}
+    assert metrics["orders"] == len(ROWS["orders"]) and metrics["captured_cents"] > 0
     assert publish(spark, root, built.generation_id, expected_pointer_version=0) == 1
     assert publish(spark, root, built.generation_id, expected_pointer_version=0) == 1
     generation, tables = serve(spark, root)
@@ -127,43 +151,131 @@ def test_build_publish_serve(spark, batch, document, tmp_path):
     assert spark.sql("select count(*) from orders").first()[0] == len(ROWS["orders"])
     assert tables["orders"].columns[-1] == "generation_id"
 
-    # A second generation: stale first, then at the right version; the first stays readable.
+    # A replay returns the same generation, writes nothing, and a held reader still reads.
+    before = files_below(root)
+    replayed = build_generation(spark, document, place, root)
+    assert (replayed.status, replayed.attempt) == ("replayed", 2)
+    assert replayed.generation_id == built.generation_id
+    assert replayed.metrics.collect() == built.metrics.collect()
+    assert files_below(root) == before
+    assert tables["orders"].count() == len(ROWS["orders"])
+
+    # The same batch id with other content is refused, whatever the content.
     other = as_batch(spark, golden_rows(8))
-    second = build_generation(manifest_for(other, "lab-002"), other, root)
+    with pytest.raises(generations.PublicationError, match="CONFLICT"):
+        build_generation(spark, landed(other, f"{place}/again"), f"{place}/again", root)
+    assert files_below(root) == before
+
+    # A second generation: stale first, then at the right version; the first stays readable.
+    second = build_generation(spark, landed(other, place, "lab-002"), place, root)
     with pytest.raises(generations.PublicationError, match="STALE_PUBLISHER"):
         publish(spark, root, second.generation_id, expected_pointer_version=0)
     with pytest.raises(generations.PublicationError, match="STALE_PUBLISHER"):
         generations.commit_pointer(spark, root, second.generation_id, 1)
+    assert generations.active_pointer(spark, root) == (generation, 1)
     assert publish(spark, root, second.generation_id, expected_pointer_version=1) == 2
     assert generations.pinned_read(spark, root, generation)["orders"].count() == 12
     assert verify_published(spark, root).isEmpty()
 
-    # A new attempt with an empty table replaces the old rows for readers.
+    # A new attempt with an empty table replaces the old rows for readers; no attempt is written twice.
     emptied = {name: batch[name] for name in TABLES} | {"returns": batch["returns"].limit(0)}
-    generations.write_generation(emptied, root, generation, 2, document["identity_digest"])
+    digest = document["identity_digest"]
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        generations.write_generation(emptied, root, generation, 2, digest)
+    attempt = generations.allocate_attempt(spark, root, generation)
+    assert attempt == 3
+    generations.write_generation(emptied, root, generation, attempt, digest)
     assert generations.pinned_read(spark, root, generation)["returns"].count() == 0
     assert generations.pinned_read(spark, root, generation)["orders"].count() == 12
 
     # Content changed behind the evidence is found.
+    folder = Path(f"{root}/payments/generation_id={second.generation_id}/attempt=1")
     edited = other["payments"].withColumn("amount_cents", F.lit(0).cast("bigint"))
-    generations.generation_sink(edited, root, "payments", second.generation_id, 1)
+    edited.write.mode("append").parquet(str(folder))
     problems = [tuple(row) for row in verify_published(spark, root).collect()]
     assert problems == [(second.generation_id, "payments", "DIGEST_MISMATCH")]
 
 
-def test_build_refuses_what_the_manifest_or_the_gates_refuse(spark, batch, document, tmp_path):
+def test_a_torn_pointer_file_does_not_stop_publication(spark, batch, store, tmp_path):
+    place, document = store
+    root = str(tmp_path / "lake")
+    built = build_generation(spark, document, place, root)
+    assert publish(spark, root, built.generation_id, expected_pointer_version=0) == 1
+    Path(root, "_pointer", "2.json").write_text("")
+    assert generations.active_pointer(spark, root) == (built.generation_id, 2)
+    assert serve(spark, root)[0] == built.generation_id
+    second = build_generation(spark, landed(as_batch(spark, golden_rows(8)), place, "lab-003"), place, root)
+    assert publish(spark, root, second.generation_id, expected_pointer_version=2) == 3
+
+
+def test_build_refuses_what_the_manifest_or_the_gates_refuse(spark, batch, store, tmp_path):
+    place, document = store
     root = str(tmp_path / "lake")
     first = ROWS["orders"][0]
     broken = as_batch(spark, changed(ROWS, "orders", 0, total_cents=first[8] + 1))
-    with pytest.raises(batch_files.ManifestError, match="TABLE_DIGEST.*orders"):
-        build_generation(document, broken, root)
+
+    def with_objects(objects):
+        return batch_files.bind_objects(document, objects)
+
+    objects = {name: proof["objects"] for name, proof in document["tables"].items()}
+    # Stored content that is not what the manifest's table digest says.
     fewer = batch.replace(payments=batch["payments"].limit(3))
-    with pytest.raises(batch_files.ManifestError, match="ROW_COUNT.*payments"):
-        build_generation(document, fewer, root)
+    for wrong, code in ((broken, "TABLE_DIGEST.*orders"), (fewer, "ROW_COUNT.*payments")):
+        name = f"bad-{code[:3].lower()}"
+        bad = batch_files.land_batch({t: wrong[t] for t in TABLES}, place, "landing", name)
+        other = {**with_objects(bad), "batch_id": name}
+        other["identity_digest"] = batch_files.manifest_digest(other)
+        with pytest.raises(batch_files.ManifestError, match=code):
+            build_generation(spark, other, place, root)
     with pytest.raises(QualityGateError, match="ORDER_TOTAL,UNDERPAID"):
-        build_generation(manifest_for(broken), broken, root)
-    with pytest.raises(generations.PublicationError, match="NOT_VALIDATED|UNKNOWN"):
+        build_generation(spark, landed(broken, place, "lab-bad"), place, root)
+
+    # Unbound, malformed, missing and tampered objects.
+    with pytest.raises(batch_files.ManifestError, match="UNBOUND_TABLE"):
+        build_generation(spark, manifest_for(batch), place, root)
+    with pytest.raises(batch_files.ManifestError, match="UNBOUND_TABLE"):
+        with_objects({**objects, "orders": []})
+    with pytest.raises(batch_files.ManifestError, match="OBJECT_TABLE_SET"):
+        with_objects({"orders": objects["orders"]})
+    item = objects["orders"][0]
+    for change, code in (
+        ({"bucket": ""}, "OBJECT_IDENTITY"),
+        ({"version_id": None}, "OBJECT_IDENTITY"),
+        ({"size_bytes": 0}, "OBJECT_EVIDENCE"),
+        ({"sha256": "zz"}, "OBJECT_EVIDENCE"),
+        ({"size_bytes": item["size_bytes"] + 1}, "OBJECT_PROOF"),
+        ({"sha256": "0" * 64}, "OBJECT_PROOF"),
+        ({"key": "lab-001/orders/none.json.gz"}, "OBJECT_PROOF"),
+    ):
+        bad = with_objects({**objects, "orders": [{**item, **change}, *objects["orders"][1:]]})
+        with pytest.raises(batch_files.ManifestError, match=code):
+            build_generation(spark, bad, place, root)
+
+    with pytest.raises(generations.PublicationError, match="NOT_VALIDATED"):
         publish(spark, root, "g-none-0123456789ab", expected_pointer_version=0)
+    assert generations.active_pointer(spark, root) == (None, 0)
+
+
+def test_evidence_of_another_digest_is_not_published(spark, batch, store, tmp_path):
+    place, document = store
+    root = str(tmp_path / "lake")
+    tables = {name: batch[name] for name in TABLES}
+    generation = "g-lab-001-0123456789ab"
+    generations.register_batch(spark, root, "lab-001", "a" * 64, generation)
+    generations.write_generation(tables, root, generation, 1, "b" * 64)
+    with pytest.raises(generations.PublicationError, match="NOT_VALIDATED"):
+        publish(spark, root, generation, expected_pointer_version=0)
+
+
+def test_a_shared_folder_is_required_off_one_machine(monkeypatch):
+    from types import SimpleNamespace
+
+    from ledgerloom.session import shared_dir
+
+    context = SimpleNamespace(master="spark://host:7077", applicationId="x", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session)
 
 
 def test_result_reconciliation_fails_closed(spark):
