@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerloom.schemas import TABLES
+from ledgerloom.session import fresh_dir
 from ledgerloom.skew import DEFAULT_POLICY, SkewPolicy, hot_keys
 
 
 class Batch:
     """Six frames and their knowledge time. Size probes run at most once and steer strategy only."""
 
-    # A product dimension is broadcast up to this many known versions, and up to this many versions
-    # of any one product; past either bound the sweep in operators/temporal.py takes over.
-    BROADCAST_VERSIONS = 500_000
-    BROADCAST_VERSIONS_PER_PRODUCT = 64
-
     def __init__(
         self,
         tables: Mapping[str, DataFrame],
@@ -32,7 +27,7 @@ class Batch:
         self.policy = policy
         self._rows: dict[str, int] = {}
         self._hot: dict[tuple[str, ...], DataFrame | None] = {}
-        self._small_dimension: bool | None = None
+        self._kept: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
         return self.tables[table]
@@ -52,13 +47,11 @@ class Batch:
             self._hot[probe] = hot_keys(self[table], keys, self.policy, self.rows(table))
         return self._hot[probe]
 
-    def dimension_is_small(self) -> bool:
-        """Whether the known product versions are proven small enough to broadcast."""
-        if self._small_dimension is None:
-            known = self["products"].filter(F.col("loaded_at") <= self.knowledge_time)
-            sizes = known.groupBy("product_id").count()
-            row = sizes.agg(F.sum("count").alias("versions"), F.max("count").alias("most")).first()
-            self._small_dimension = (row["versions"] or 0) <= self.BROADCAST_VERSIONS and (
-                row["most"] or 0
-            ) <= self.BROADCAST_VERSIONS_PER_PRODUCT
-        return self._small_dimension
+    def kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A frame that several rules read, written to the shared folder on first use."""
+        if name not in self._kept:
+            frame = build()
+            path = fresh_dir(frame.sparkSession, name)
+            frame.write.parquet(path)
+            self._kept[name] = frame.sparkSession.read.schema(frame.schema).parquet(path)
+        return self._kept[name]

@@ -86,16 +86,8 @@ def entity_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def is_violated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Existence per code: each probe stops at its first row."""
-    batch = faulted_batch(spark, sf_dir)
-    probes = [
-        gate(batch)
-        .limit(1)
-        .agg((F.count(F.lit(1)) > 0).alias("violated"))
-        .select(F.lit(code).alias("code"), "violated")
-        for code, gate in gates.GATES.items()
-    ]
-    return reduce(DataFrame.unionByName, probes)
+    """Existence of every code, off the one report."""
+    return report.violated_by_code(report.violation_report(faulted_batch(spark, sf_dir)))
 
 
 @query

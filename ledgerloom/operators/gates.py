@@ -70,14 +70,15 @@ def violations(rows: DataFrame, code: str, entity_id: str | Column) -> DataFrame
     )
 
 
-def duplicates(frame: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Keys seen more than once. Copies collapse before the shuffle."""
-    return frame.groupBy(*keys).count().filter(F.col("count") > 1).drop("count")
+def duplicates(frame: DataFrame, keys: tuple[str, ...], copies: str | None = None) -> DataFrame:
+    """Keys seen more than once. Copies collapse before the shuffle, or are counted in a column already."""
+    seen = F.count(F.lit(1)) if copies is None else F.sum(copies)
+    return frame.groupBy(*keys).agg(seen.alias("seen")).filter(F.col("seen") > 1).drop("seen")
 
 
-def duplicate_ids(frame: DataFrame, table: str) -> DataFrame:
+def duplicate_ids(frame: DataFrame, table: str, copies: str | None = None) -> DataFrame:
     keys = IDENTITY_KEYS[table]
-    return duplicates(frame, keys).select(
+    return duplicates(frame, keys, copies).select(
         F.lit("DUPLICATE_ID").alias("code"),
         entity_key(*[F.col(key) for key in keys]).alias("entity_id"),
         F.lit(f"duplicate {ENTITY_NAMES[table]} identity").alias("message"),

@@ -7,8 +7,6 @@ are counted with running sums, which split over tasks where one batch holds much
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +29,6 @@ REGISTER, START_BUILD, VALIDATE, PUBLISH, FAIL = (
     "fail",
 )
 
-# With any pointer of more attempts than about this, attempts are not folded in arrays.
-FOLD_ATTEMPTS = 5_000
-
 
 def registry(log: DataFrame) -> DataFrame:
     """The accepted (first) identity of each batch."""
@@ -206,29 +201,8 @@ def replay_classification(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -
     )
 
 
-def _folded_acceptances(attempts: DataFrame) -> DataFrame:
-    """Compare-and-swap where every pointer has few attempts: one ordered pass over a short array."""
-    ordered = F.sort_array(F.collect_list(F.struct("seq", "expected")))
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("version"),
-        F.array().cast("array<bigint>").alias("accepted"),
-    )
-
-    def step(state: Column, attempt: Column) -> Column:
-        hit = attempt["expected"] == state["version"]
-        return F.struct(
-            F.when(hit, state["version"] + 1).otherwise(state["version"]).alias("version"),
-            F.when(hit, F.concat(state["accepted"], F.array(attempt["seq"])))
-            .otherwise(state["accepted"])
-            .alias("accepted"),
-        )
-
-    folded = attempts.groupBy("pointer_id").agg(F.aggregate(ordered, start, step).alias("fold"))
-    return folded.select("pointer_id", F.explode("fold.accepted").alias("seq"))
-
-
 def _chained_acceptances(attempts: DataFrame, policy: SkewPolicy) -> DataFrame:
-    """Compare-and-swap over pointers of any size.
+    """Compare-and-swap over pointers of any size, without a fold over a pointer's attempts.
 
     An accepted attempt expecting version v is followed by the first later attempt expecting v + 1.
     That successor is a running minimum over attempts in reverse order, found per link; the accepted
@@ -276,9 +250,11 @@ def _chained_acceptances(attempts: DataFrame, policy: SkewPolicy) -> DataFrame:
         if grown.count() == reached.count():
             return grown
         reached = grown
+        # Many steps may lead to one attempt, which has one step of its own.
         onward = steps.select("pointer_id", F.col("seq").alias("next_seq"), F.col("next_seq").alias("beyond"))
+        keys = ["pointer_id", "next_seq"]
         steps = (
-            steps.join(onward, ["pointer_id", "next_seq"])
+            lookup_join(steps, onward, keys, "inner", hot_keys(steps, keys, policy))
             .select("pointer_id", "seq", F.col("beyond").alias("next_seq"))
             .checkpoint()
         )
@@ -292,11 +268,7 @@ def pointer_cas(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFram
     attempts = log.filter(F.col("action") == PUBLISH).withColumn(
         "expected", F.col("expected_pointer_version").cast("bigint")
     )
-    fold_policy = replace(policy, hot_rows=min(policy.hot_rows, FOLD_ATTEMPTS))
-    if hot_keys(attempts, ["pointer_id"], fold_policy) is None:
-        accepted = _folded_acceptances(attempts)
-    else:
-        accepted = _chained_acceptances(attempts, policy)
+    accepted = _chained_acceptances(attempts, policy)
     marked = attempts.join(
         accepted.withColumn("hit", F.lit(True)), ["pointer_id", "seq"], "left"
     )

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.batch import Batch
 from ledgerloom.functions.predicates import valid_at
 from ledgerloom.operators.aggregates import order_times
-from ledgerloom.skew import hot_keys, lookup_join, running_sums
+from ledgerloom.skew import lookup_join
 
 LINE = ["order_id", "line_id", "product_id"]
 EVENT = [*LINE, "order_ts"]
@@ -36,137 +36,89 @@ def line_events(batch: Batch, *measures: Column) -> DataFrame:
     return joined.select(*EVENT).distinct()
 
 
-def _joined(events: DataFrame, batch: Batch, how: str) -> DataFrame:
+def temporal_match(events: DataFrame, batch: Batch) -> DataFrame:
+    """Every event with each known version valid at its time, or with nulls when there is none."""
     versions = known_versions(batch["products"], batch.knowledge_time).select(
         F.col("product_id").alias("matched_product_id"), *VERSION
     )
-    if batch.dimension_is_small():
-        versions = F.broadcast(versions)
     condition = (F.col("product_id") == F.col("matched_product_id")) & valid_at(
         F.col("effective_from"), F.col("effective_to"), F.col("order_ts")
     )
-    return events.join(versions, condition, how)
+    return events.join(versions, condition, "left").drop("matched_product_id")
 
 
-def temporal_match(events: DataFrame, batch: Batch) -> DataFrame:
-    """Every event with each known version valid at its time, or with nulls when there is none.
+def segments(batch: Batch) -> DataFrame:
+    """Each product's time line cut where a known version begins or ends, without overlaps.
 
-    A small dimension is broadcast. Otherwise the sweep settles the events with at most one version,
-    and only the ambiguous ones, which a sound batch does not have, meet their versions in a join.
+    (segment_product, segment_from, segment_to, dimension_matches, version columns): how many versions
+    are in force from segment_from up to segment_to (null: for good), and the version where it is one.
+    Versions become +1 / -1 steps whose running sums count those in force; with exactly one in force the
+    sums of its own columns are that version. All of this is work on the dimension alone.
     """
-    if batch.dimension_is_small():
-        return _joined(events, batch, "left").drop("matched_product_id")
-    counted = _swept(events, batch)
-    settled = counted.filter(F.col("dimension_matches") <= 1).drop("dimension_matches")
-    ambiguous = counted.filter(F.col("dimension_matches") > 1).select(*events.columns)
-    return settled.unionByName(
-        _joined(ambiguous, batch, "inner").select(*events.columns, *VERSION)
-    )
-
-
-def dimension_matches(events: DataFrame, batch: Batch) -> DataFrame:
-    """Events with `dimension_matches` and the version columns, set where the match is unique.
-
-    A small dimension is broadcast and counted after the join. Otherwise the versions become +1 / -1
-    steps on each product's time line and a running sum counts those in force at each event: linear
-    in events plus versions, where a join would make every event-version pair.
-    """
-    carried = events.columns
-    if batch.dimension_is_small():
-        matches = _joined(events, batch, "left")
-        counted = matches.groupBy(*carried).agg(
-            F.count("matched_product_id").alias("dimension_matches"),
-            F.max(F.struct(*VERSION)).alias("version"),
-        )
-        unique = F.col("dimension_matches") == 1
-        return counted.select(
-            *carried,
-            "dimension_matches",
-            *[F.when(unique, F.col("version")[name]).alias(name) for name in VERSION],
-        )
-    return _swept(events, batch)
-
-
-def _swept(events: DataFrame, batch: Batch) -> DataFrame:
-    carried = [name for name in events.columns if name != "product_id"]
     versions = known_versions(batch["products"], batch.knowledge_time).filter(
         F.col("product_id").isNotNull()
         & F.col("effective_from").isNotNull()
         & (F.col("effective_to").isNull() | (F.col("effective_from") < F.col("effective_to")))
     )
-    kinds = {field.name: field.dataType for field in events.schema.fields}
-    nothing = [F.lit(None).cast(kinds[name]).alias(name) for name in carried]
 
     def step(sign: int, moment: str) -> list[Column]:
         return [
-            F.col("product_id"),
-            F.col(moment).alias("moment"),
-            F.lit(0).alias("is_event"),
+            F.col("product_id").alias("segment_product"),
+            F.col(moment).alias("segment_from"),
             F.lit(sign).cast("bigint").alias("d_count"),
             (F.col("effective_from") * sign).alias("d_from"),
             (F.coalesce(F.col("effective_to"), F.lit(0)) * sign).alias("d_to"),
             F.when(F.col("effective_to").isNull(), sign).otherwise(0).cast("bigint").alias("d_open"),
-            (F.col("loaded_at") * sign).alias("d_loaded"),
-            *nothing,
+            (F.coalesce(F.col("loaded_at"), F.lit(0)) * sign).alias("d_loaded"),
         ]
 
-    zero = F.lit(0).cast("bigint")
-    asked = events.select(
-        F.col("product_id"),
-        F.col("order_ts").alias("moment"),
-        F.lit(1).alias("is_event"),
-        *[zero.alias(name) for name in ("d_count", "d_from", "d_to", "d_open", "d_loaded")],
-        *carried,
+    steps = versions.select(*step(1, "effective_from")).unionByName(
+        versions.filter(F.col("effective_to").isNotNull()).select(*step(-1, "effective_to"))
     )
-    timeline = (
-        versions.select(*step(1, "effective_from"))
-        .unionByName(
-            versions.filter(F.col("effective_to").isNotNull()).select(*step(-1, "effective_to"))
-        )
-        .unionByName(asked)
+    moments = steps.groupBy("segment_product", "segment_from").agg(
+        *[F.sum(name).alias(name) for name in ("d_count", "d_from", "d_to", "d_open", "d_loaded")]
     )
-    keys = batch["order_lines"].select("product_id").unionByName(
-        batch["products"].select("product_id")
+    line = Window.partitionBy("segment_product").orderBy("segment_from")
+    so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = moments.select(
+        "segment_product",
+        "segment_from",
+        F.lead("segment_from").over(line).alias("segment_to"),
+        F.sum("d_count").over(so_far).alias("dimension_matches"),
+        F.sum("d_from").over(so_far).alias("at_from"),
+        F.sum("d_to").over(so_far).alias("at_to"),
+        F.sum("d_open").over(so_far).alias("at_open"),
+        F.sum("d_loaded").over(so_far).alias("at_loaded"),
     )
-    # Steps sort before events of the same second: valid time is closed at its start, open at its end.
-    summed = running_sums(
-        timeline,
-        ["product_id"],
-        ["moment", "is_event"],
-        {
-            "dimension_matches": F.col("d_count"),
-            "at_from": F.col("d_from"),
-            "at_to": F.col("d_to"),
-            "at_open": F.col("d_open"),
-            "at_loaded": F.col("d_loaded"),
-        },
-        hot_keys(keys, ["product_id"], batch.policy),
-    ).filter(F.col("is_event") == 1)
-    # With exactly one version in force the sums are that version's own columns.
     unique = F.col("dimension_matches") == 1
-    resolved = summed.select(
-        "product_id",
-        *carried,
-        "dimension_matches",
-        F.when(unique, F.col("at_from")).alias("effective_from"),
-        F.when(unique & (F.col("at_open") == 0), F.col("at_to")).alias("effective_to"),
-        F.when(unique, F.col("at_loaded")).alias("loaded_at"),
+    described = versions.select(F.col("product_id").alias("v_product"), *VERSION)
+    same = (
+        unique
+        & (F.col("segment_product") == F.col("v_product"))
+        & (F.col("at_from") == F.col("effective_from"))
+        & ((F.col("at_open") == 1) == F.col("effective_to").isNull())
+        & (F.col("at_to") == F.coalesce(F.col("effective_to"), F.lit(0)))
+        & (F.col("at_loaded") == F.col("loaded_at"))
     )
-    described = versions.select(
-        F.col("product_id").alias("v_product"),
-        F.col("effective_from").alias("v_from"),
-        F.col("effective_to").alias("v_to"),
-        F.col("loaded_at").alias("v_loaded"),
-        "category",
+    return summed.join(described, same, "left").select(
+        "segment_product", "segment_from", "segment_to", "dimension_matches", *VERSION
     )
-    same = (
-        (F.col("product_id") == F.col("v_product"))
-        & (F.col("effective_from") == F.col("v_from"))
-        & F.col("effective_to").eqNullSafe(F.col("v_to"))
-        & (F.col("loaded_at") == F.col("v_loaded"))
+
+
+def dimension_matches(events: DataFrame, batch: Batch) -> DataFrame:
+    """Events with `dimension_matches` and the version columns, set where the match is unique.
+
+    An event lies in at most one segment of its product, so the join gives one row for each event,
+    repeated events included, and nothing is grouped afterwards. Events are the left side: whichever join
+    Spark takes for the size it meets, it can split the events of a hot product.
+    """
+    lies_in = (F.col("product_id") == F.col("segment_product")) & valid_at(
+        F.col("segment_from"), F.col("segment_to"), F.col("order_ts")
     )
-    return resolved.join(described, same, "left").select(
-        *events.columns, "dimension_matches", *VERSION
+    return events.join(segments(batch), lies_in, "left").select(
+        *events.columns,
+        F.coalesce("dimension_matches", F.lit(0).cast("bigint")).alias("dimension_matches"),
+        *VERSION,
     )
 
 

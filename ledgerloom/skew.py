@@ -18,15 +18,22 @@ from ledgerloom.session import shared_dir
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """A key is hot from `hot_rows` rows on; at most `max_hot_keys` of them are set apart."""
+    """A key is hot from about `hot_rows` rows on; a slice of a hot key has `slice_rows` or so.
+
+    There can be no more hot keys than the rows of a frame divided by `hot_rows`: some thousands, even
+    where a frame has tens of billions of rows.
+    """
 
     hot_rows: int = 4_000_000
     sample_fraction: float = 0.001
-    max_hot_keys: int = 10_000
+    slice_rows: int = 1_000_000
 
 
 DEFAULT_POLICY = SkewPolicy()
 
+#: The column of a hot-key frame that says how many slices a key should be cut into.
+SLICES = "_slices"
+
 
 def hot_keys(
     frame: DataFrame,
@@ -34,7 +41,7 @@ def hot_keys(
     policy: SkewPolicy = DEFAULT_POLICY,
     rows: int | None = None,
 ) -> DataFrame | None:
-    """The heaviest keys as a literal frame of at most `max_hot_keys` rows, None when there are none.
+    """All hot keys and their estimated rows as a literal frame, None when there are none.
 
     A frame of fewer rows than make a key hot has none; its count is metadata for Parquet. Otherwise
     one job counts keys on a sample of the key columns. The keys are pinned as literals, so the two
@@ -51,9 +58,7 @@ def hot_keys(
         sampled.groupBy(*keys)
         .count()
         .filter(F.col("count") >= max(1, int(policy.hot_rows * fraction)))
-        .orderBy(F.desc("count"), *keys)
-        .limit(policy.max_hot_keys)
-        .select(*keys)
+        .select(*keys, F.ceil(F.col("count") / fraction / policy.slice_rows).alias(SLICES))
     )
     heaviest = found.toArrow()
     if heaviest.num_rows == 0:
@@ -87,7 +92,7 @@ def lookup_join(
     if hot is None:
         return rows.join(lookup, keys, how)
     hot_rows, other_rows = split_hot(rows, hot, keys)
-    hot_lookup = F.broadcast(lookup.join(F.broadcast(hot), keys, "left_semi"))
+    hot_lookup = F.broadcast(lookup.join(F.broadcast(hot.select(*keys)), keys, "left_semi"))
     return hot_rows.join(hot_lookup, keys, how).unionByName(other_rows.join(lookup, keys, how))
 
 
@@ -127,7 +132,8 @@ def running_sums(
 
     hot_rows, other_rows = split_hot(prepared, hot, keys)
     shared_dir(frame.sparkSession)
-    slices = max(2, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    wanted = hot.agg(F.sum(SLICES)).first()[0]
+    slices = max(2, wanted, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sliced = (
         hot_rows.repartitionByRange(slices, *keys, *order)
         .withColumn("_slice", F.spark_partition_id())
@@ -139,7 +145,7 @@ def running_sums(
     earlier = (
         Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # One row per key and slice it touches: at most max_hot_keys + slices rows.
+    # One row per key and slice it touches: at most hot keys + slices rows.
     carried = totals.select(
         *[F.col(key).alias(f"_of_{key}") for key in keys],
         F.col("_slice").alias("_of_slice"),

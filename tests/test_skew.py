@@ -91,24 +91,36 @@ def test_report_with_a_third_of_all_rows_on_one_key(spark):
     )
     plain = as_batch(spark, rows)
     split = as_batch(spark, rows, SkewPolicy(hot_rows=5, sample_fraction=1.0))
-    split.BROADCAST_VERSIONS = 0
     assert split.hot("payments", "order_id") is not None
-    assert not split.dimension_is_small()
     assert rows_of(violation_report(split)) == rows_of(violation_report(plain))
     assert rows_of(running_stock(split)) == rows_of(running_stock(plain))
     separate = [row for gate in gates.GATES.values() for row in rows_of(gate(split))]
     assert sorted(separate, key=repr) == rows_of(violation_report(plain))
 
 
-def test_sweep_equals_join_on_given_tables(spark, small):
+def in_force(event, versions, knowledge):
+    """Plain match of one (product, moment) against (product, category, from, to, loaded) versions."""
+    product, moment = event
+    return [
+        v
+        for v in versions
+        if None not in (product, moment, v[0], v[2], v[4])
+        and v[0] == product
+        and v[4] <= knowledge
+        and v[2] <= moment
+        and (v[3] is None or moment < v[3])
+    ]
+
+
+def test_repeated_events_are_counted_each_for_itself(spark, small):
     batch = faulted_batch(spark, small)
     events = temporal.line_events(batch)
-    joined = rows_of(temporal.dimension_matches(events, batch))
-    swept = rows_of(temporal._swept(events, batch))
-    assert swept == joined
+    once = rows_of(temporal.dimension_matches(events, batch))
+    twice = rows_of(temporal.dimension_matches(events.union(events), batch))
+    assert twice == sorted(once * 2, key=repr)
 
 
-def test_sweep_edges(spark):
+def test_segments_at_their_edges(spark):
     """Touching, empty, reversed, unknown, repeated and null intervals."""
     from ledgerloom.batch import Batch
     from ledgerloom.schemas import SCHEMAS
@@ -148,10 +160,56 @@ def test_sweep_edges(spark):
     }
     batch = as_batch(spark, rows, knowledge=10)
     events = temporal.line_events(batch)
-    expected = rows_of(temporal.dimension_matches(events, batch))
-    for policy in (batch.policy, EVERYTHING_HOT):
-        other = Batch(batch.tables, 10, policy)
-        assert rows_of(temporal._swept(events, other)) == expected
+    for row in temporal.dimension_matches(events, batch).collect():
+        found = in_force((row["product_id"], row["order_ts"]), versions, 10)
+        assert row["dimension_matches"] == len(found)
+        version = tuple(row[name] for name in temporal.VERSION)
+        assert version == (found[0][1:] if len(found) == 1 else (None,) * 4)
+    matched = {}
+    for row in temporal.temporal_match(events, batch).collect():
+        key = (row["product_id"], row["order_ts"])
+        matched.setdefault((row["order_id"], row["line_id"], *key), []).append(row["category"])
+    for (_, _, *key), categories in matched.items():
+        wanted = [v[1] for v in in_force(key, versions, 10)] or [None]
+        assert sorted(map(str, categories)) == sorted(map(str, wanted))
+
+
+def test_one_offer_that_most_attempts_wait_for(spark):
+    log = [(0, n, n, "publish", None, None, 0 if n < 400 else n - 399) for n in range(420)]
+    kind = (
+        "pointer_id bigint, batch_id bigint, seq bigint, action string, manifest_digest string, "
+        "manifest_version_id string, expected_pointer_version bigint"
+    )
+    frame = spark.createDataFrame(log, kind)
+    version, wanted = 0, {}
+    for _, _, seq, *_, expected in log:
+        hit = expected == version
+        version += hit
+        wanted[seq] = version if hit else None
+    for policy in (SkewPolicy(), EVERYTHING_HOT):
+        found = {r["seq"]: r["pointer_version"] for r in lifecycle.pointer_cas(frame, policy).collect()}
+        assert found == wanted
+
+
+def test_the_report_reads_the_order_lines_once(spark, small):
+    import re
+
+    batch = faulted_batch(spark, small)
+    frame = violation_report(batch)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "derived-" in plan and "line-facts" in plan
+    assert not re.search(r"derived-\w+-order_lines", plan)
+    facts = batch.kept("line-facts", None)
+    assert facts.agg(F.sum("copies")).first()[0] == batch["order_lines"].count()
+    assert plan.count("Exchange hashpartitioning") <= 16
+
+
+def test_many_copies_of_a_violation(spark):
+    from ledgerloom.plans import report
+
+    rows = spark.createDataFrame([("a", 25_003), ("b", 0), ("c", 1)], "id string, n bigint")
+    found = report._emit(rows, ("LINE_TOTAL", F.col("id"), F.col("n"))).groupBy("entity_id").count()
+    assert {r["entity_id"]: r["count"] for r in found.collect()} == {"a": 25_003, "c": 1}
 
 
 @pytest.mark.parametrize(
@@ -162,13 +220,3 @@ def test_lifecycle_splits_hot_batches(spark, small, name):
     log = action_log(spark, small)
     operator = getattr(lifecycle, name)
     assert rows_of(operator(log, SOME_HOT)) == rows_of(operator(log))
-
-
-def test_temporal_match_without_a_small_dimension(spark, small):
-    batch = faulted_batch(spark, small)
-    large = batch.replace()
-    large.BROADCAST_VERSIONS = 0
-    events = temporal.line_events(batch)
-    assert rows_of(temporal.temporal_match(events, large)) == rows_of(
-        temporal.temporal_match(events, batch)
-    )
