@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import predicates, text
 from ledgerloom.operators import aggregates as agg
 from ledgerloom.operators import fingerprint, gates, inventory, lifecycle, metering, proofs, temporal
-from ledgerloom.plans import report
+from ledgerloom.plans import build, report
 from ledgerloom.schemas import TABLES
 from ledgerloom.session import fresh_dir
 from ledgerloom.sources import batch_files, generations, star_tables, synthetic
@@ -96,9 +96,21 @@ def probe_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_duplicates"))
 
 
+def _stacked(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, json) of every row of all tables."""
+    rows = [
+        frame.select(F.lit(name).alias("table_name"), text.canonical_row_json(frame).alias("json"))
+        for name, frame in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query
 def tag_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generations.tag_generation(faulted_batch(spark, sf_dir)["payments"], GENERATION)
+    tables = faulted_batch(spark, sf_dir).materialise()
+    return _stacked(
+        {name: generations.tag_generation(frame, GENERATION) for name, frame in tables.items()}
+    )
 
 
 @query
@@ -510,29 +522,36 @@ def _published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query
 def write_batch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written as gzipped NDJSON with sorted keys; shown as the raw text lines."""
-    folder = fresh_dir(spark, "ndjson")
-    batch_files.write_batch_table(faulted_batch(spark, sf_dir)["products"], folder)
-    return spark.read.text(folder).select(F.col("value").alias("line"))
+    """All six tables written as gzipped NDJSON with sorted keys; shown as the raw text lines."""
+    folder, lines = fresh_dir(spark, "ndjson"), []
+    for name, frame in faulted_batch(spark, sf_dir).materialise().items():
+        batch_files.write_batch_table(frame, f"{folder}/{name}")
+        line = spark.read.text(f"{folder}/{name}").select(F.col("value").alias("line"))
+        lines.append(line.select(F.lit(name).alias("table_name"), "line"))
+    return reduce(DataFrame.unionByName, lines)
 
 
 @query
 def read_batch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A round trip of the orders through gzipped NDJSON under their declared schema."""
-    orders = faulted_batch(spark, sf_dir)["orders"]
-    folder = fresh_dir(spark, "ndjson")
-    batch_files.write_batch_table(orders, folder)
-    return batch_files.read_batch_table(spark, folder, orders.schema)
+    """A round trip of all six tables through gzipped NDJSON under their declared schemas."""
+    folder, read = fresh_dir(spark, "ndjson"), {}
+    for name, frame in faulted_batch(spark, sf_dir).materialise().items():
+        batch_files.write_batch_table(frame, f"{folder}/{name}")
+        read[name] = batch_files.read_batch_table(spark, f"{folder}/{name}", frame.schema)
+    return _stacked(read)
 
 
 @query
 def generation_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second attempt replaces the first: the reader sees the captured payments only."""
-    payments = faulted_batch(spark, sf_dir)["payments"]
-    root = fresh_dir(spark, "sink")
-    generations.generation_sink(payments, root, "payments", GENERATION, 1)
-    generations.generation_sink(agg.captured_payments(payments), root, "payments", GENERATION, 2)
-    return generations.read_attempt(spark, root, "payments", GENERATION, 2, payments.schema)
+    """A second attempt, with the captured payments only, stands beside the first one untouched."""
+    tables = faulted_batch(spark, sf_dir).materialise()
+    root, read = fresh_dir(spark, "sink"), {}
+    for name, frame in tables.items():
+        second = agg.captured_payments(frame) if name == "payments" else frame
+        generations.generation_sink(frame, root, name, GENERATION, 1)
+        generations.generation_sink(second, root, name, GENERATION, 2)
+        read[name] = generations.read_attempt(spark, root, name, GENERATION, 2, frame.schema)
+    return _stacked(read)
 
 
 @query
@@ -544,7 +563,7 @@ def generation_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pinned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _published(spark, sf_dir)["orders"]
+    return _stacked(_published(spark, sf_dir))
 
 
 @query
@@ -570,7 +589,40 @@ def _synthetic(spark: SparkSession, sf_dir: str):
 
 @query
 def synthetic_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _synthetic(spark, sf_dir)["orders"]
+    batch = _synthetic(spark, sf_dir)
+    return _stacked({name: batch[name] for name in TABLES})
+
+
+@query
+def build_publish_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clean batch landed as files, built from its manifest, replayed, published and served."""
+    batch = _synthetic(spark, sf_dir)
+    tables = {name: batch[name] for name in TABLES}
+    store, lake = fresh_dir(spark, "store"), fresh_dir(spark, "lake")
+    landed = batch_files.land_batch(tables, store, "landing", BATCH_ID)
+    document = batch_files.build_manifest(
+        fingerprint.table_fingerprints(tables),
+        batch_id=BATCH_ID,
+        produced_at=batch.knowledge_time,
+        as_of_knowledge_time=batch.knowledge_time,
+    )
+    bound = batch_files.bind_objects(document, landed)
+    built = build.build_generation(spark, bound, store, lake)
+    replayed = build.build_generation(spark, bound, store, lake)
+    version = build.publish(spark, lake, built.generation_id, expected_pointer_version=0)
+    generation, _ = generations.active_pointer(spark, lake)
+    served = generations.pinned_read(spark, lake, generation)
+    proofs_of_served = fingerprint.table_fingerprints(
+        {name: frame.drop("generation_id") for name, frame in served.items()}
+    )
+    return proofs_of_served.select(
+        "table_name",
+        "rows",
+        "fingerprint",
+        F.lit(version).cast("bigint").alias("pointer_version"),
+        F.lit(replayed.status).alias("second_build"),
+        F.lit(build.verify_published(spark, lake).isEmpty()).alias("is_verified"),
+    )
 
 
 @query

@@ -10,6 +10,7 @@ import re
 
 from ledgerloom.operators.metering import EXPECTED_OUTCOMES
 from ledgerloom.schemas import IDENTITY_KEYS, MESSAGES, SCHEMAS, TABLES
+from ledgerloom.sources.synthetic import CATEGORIES, DAY, HOUR, PRODUCTS, START_TS
 
 # --- views: name -> SQL; a query gets the views it names, in this order ---------------------------
 
@@ -360,7 +361,7 @@ def _json(columns: list[str]) -> str:
     return f"cast(to_json({{{pairs}}}) as varchar)"
 
 
-def _fingerprint(table: str) -> str:
+def _fingerprint(table: str, view: str | None = None) -> str:
     lanes = ", ".join(
         f"coalesce(sum((cast('0x' || substr(h, {1 + 15 * word}, 15) as bigint) >> {shift}) & 1048575), 0)"
         for word in range(4)
@@ -369,12 +370,57 @@ def _fingerprint(table: str) -> str:
     return (
         f"select '{table}' as table_name, count(*) as rows, "
         f"sha256(concat_ws(':', count(*), {lanes})) as fingerprint "
-        f"from (select sha256({_json(SCHEMAS[table].names)}) as h from {VIEW_OF_TABLE[table]})"
+        f"from (select sha256({_json(SCHEMAS[table].names)}) as h from {view or VIEW_OF_TABLE[table]})"
     )
 
 
 VIEWS["v_fingerprints"] = " union all ".join(_fingerprint(table) for table in TABLES)
 
+# --- the six synthetic tables -------------------------------------------------------------------------
+
+VIEWS["s_t_orders"] = (
+    "select concat('o-', lpad(cast(i as varchar),"
+    " cast(greatest(8, length(cast(i as varchar))) as integer), '0')) as order_id,"
+    " concat('c-', lpad(cast(i%greatest(5, n//5) as varchar),"
+    " cast(greatest(5, length(cast(i%greatest(5, n//5) as varchar))) as integer), '0')) as customer_id,"
+    " concat('s-', lpad(cast(i%3+1 as varchar), 2, '0')) as store_id,"
+    " 1700000000+i*10 as order_ts, 'COMPLETED' as status, sub as subtotal_cents, tax as tax_cents,"
+    " cast(discount as bigint) as discount_cents, sub+tax-discount as total_cents, 'INR' as currency"
+    " from s_full, s_count"
+)
+VIEWS["s_t_movements"] = (
+    "select concat_ws('-', 'opening', product_id, store_id) as movement_id, product_id, store_id,"
+    " (select greatest(100, n*4) from s_count) as quantity_delta, 'OPENING' as reason,"
+    " cast(1699999999 as bigint) as movement_ts from"
+    " (select concat('p-', lpad(cast(number as varchar), 3, '0')) as product_id,"
+    " concat('s-', lpad(cast(store as varchar), 2, '0')) as store_id from range(1, 21) as p(number), range(1, 4) as t(store)) union all"
+    " select concat('sale-', order_id, '-l-', cast(step+1 as varchar)), product_id, store_id,"
+    " -quantity, 'SALE', 1700000000+i*10 from s_lines union all"
+    " select concat('return-', order_id, '-l-', cast(step+1 as varchar)), product_id, store_id,"
+    " cast(1 as bigint), 'RETURN', 1700000000+i*10+5 from s_lines where i%17=0 and step=0"
+)
+VIEWS["s_t_lines"] = (
+    "select order_id, concat('l-', cast(step+1 as varchar)) as line_id, product_id, quantity,"
+    " price as unit_price_cents, quantity*price as line_total_cents from s_lines"
+)
+VIEWS["s_t_payments"] = (
+    "select concat('pay-', substr(order_id, 3)) as payment_id, order_id, total_cents as amount_cents,"
+    " 'CAPTURED' as status from s_t_orders"
+)
+VIEWS["s_t_returns"] = (
+    "select concat('ret-', substr(order_id, 3)) as return_id, order_id, 'l-1' as line_id,"
+    " cast(1 as bigint) as quantity, price as refund_cents from s_lines where i%17=0 and step=0"
+)
+VIEWS["s_t_products"] = (
+    "select concat('p-', lpad(cast(number as varchar), 3, '0')) as product_id,"
+    f" list_extract({list(CATEGORIES)}, number%3+1) as category,"
+    f" cast({START_TS - DAY} as bigint) as effective_from, cast(null as bigint) as effective_to,"
+    f" cast({START_TS - HOUR} as bigint) as loaded_at from range(1, {PRODUCTS + 1}) as p(number)"
+)
+SYNTHETIC_VIEWS = {
+    table: f"s_t_{'lines' if table == 'order_lines' else table.split('_')[-1]}" for table in TABLES
+}
+
 # --- queries -----------------------------------------------------------------------------------------
 
 GENERATION = "g-star-0123456789ab"
@@ -453,7 +499,11 @@ BODIES: dict[str, str] = {
     " select 'payment', payment_id, status from f_payments where status='CAPTURED'",
     "entity_key": "select concat_ws(':', order_id, line_id) as entity_id from f_lines union all"
     " select concat_ws(':', product_id, store_id) from f_movements",
-    "tag_generation": f"select *, '{GENERATION}' as generation_id from f_payments",
+    "tag_generation": " union all ".join(
+        f"select '{table}' as table_name, {_json([*SCHEMAS[table].names, 'generation_id'])} as json"
+        f" from (select *, '{GENERATION}' as generation_id from {view})"
+        for table, view in VIEW_OF_TABLE.items()
+    ),
     "business_result": "select count(*) as orders, cast(sum(total_cents) as bigint) as gross_cents"
     " from f_orders",
     "six_table_counts": "select "
@@ -603,32 +653,36 @@ BODIES: dict[str, str] = {
     " round(billable_bytes/cast(1000000000000 as double)*cast(5.0 as double), 6) as scan_usd,"
     " round(dpu/3600*cast(0.44 as double)"
     "+billable_bytes/cast(1000000000000 as double)*cast(5.0 as double), 6) as total_usd from j, s",
-    "write_batch_table": f"select {_json(SCHEMAS['products'].names)} as line from f_products",
-    "read_batch_table": "select * from f_orders",
-    "generation_sink": f"select *, '{GENERATION}' as generation_id from f_payments"
-    " where status='CAPTURED'",
+    "write_batch_table": " union all ".join(
+        f"select '{table}' as table_name, {_json(SCHEMAS[table].names)} as line from {view}"
+        for table, view in VIEW_OF_TABLE.items()
+    ),
+    "read_batch_table": " union all ".join(
+        f"select '{table}' as table_name, {_json(SCHEMAS[table].names)} as json from {view}"
+        for table, view in VIEW_OF_TABLE.items()
+    ),
+    "generation_sink": " union all ".join(
+        f"select '{table}' as table_name, {_json([*SCHEMAS[table].names, 'generation_id'])} as json"
+        f" from (select *, '{GENERATION}' as generation_id from {view}"
+        + (" where status='CAPTURED')" if table == "payments" else ")")
+        for table, view in VIEW_OF_TABLE.items()
+    ),
     "generation_evidence": f"select '{GENERATION}' as generation_id, * from v_fingerprints",
-    "pinned_read": f"select *, '{GENERATION}' as generation_id from f_orders",
+    "pinned_read": " union all ".join(
+        f"select '{table}' as table_name, {_json([*SCHEMAS[table].names, 'generation_id'])} as json"
+        f" from (select *, '{GENERATION}' as generation_id from {view})"
+        for table, view in VIEW_OF_TABLE.items()
+    ),
     "read_manifest": "select 'star' as batch_id, * from v_fingerprints",
-    "synthetic_batch": "select concat('o-', lpad(cast(i as varchar),"
-    " cast(greatest(8, length(cast(i as varchar))) as integer), '0')) as order_id,"
-    " concat('c-', lpad(cast(i%greatest(5, n//5) as varchar),"
-    " cast(greatest(5, length(cast(i%greatest(5, n//5) as varchar))) as integer), '0')) as customer_id,"
-    " concat('s-', lpad(cast(i%3+1 as varchar), 2, '0')) as store_id,"
-    " 1700000000+i*10 as order_ts, 'COMPLETED' as status, sub as subtotal_cents, tax as tax_cents,"
-    " cast(discount as bigint) as discount_cents, sub+tax-discount as total_cents, 'INR' as currency"
-    " from s_full, s_count",
-    "synthetic_movements": "with p as (select range as number from range(1, 21)),"
-    " t as (select range as store from range(1, 4))"
-    " select concat_ws('-', 'opening', product_id, store_id) as movement_id, product_id, store_id,"
-    " (select greatest(100, n*4) from s_count) as quantity_delta, 'OPENING' as reason,"
-    " cast(1699999999 as bigint) as movement_ts from"
-    " (select concat('p-', lpad(cast(number as varchar), 3, '0')) as product_id,"
-    " concat('s-', lpad(cast(store as varchar), 2, '0')) as store_id from p, t) union all"
-    " select concat('sale-', order_id, '-l-', cast(step+1 as varchar)), product_id, store_id,"
-    " -quantity, 'SALE', 1700000000+i*10 from s_lines union all"
-    " select concat('return-', order_id, '-l-', cast(step+1 as varchar)), product_id, store_id,"
-    " cast(1 as bigint), 'RETURN', 1700000000+i*10+5 from s_lines where i%17=0 and step=0",
+    "synthetic_batch": " union all ".join(
+        f"select '{table}' as table_name, {_json(SCHEMAS[table].names)} as json from {view}"
+        for table, view in SYNTHETIC_VIEWS.items()
+    ),
+    "build_publish_serve": "select *, cast(1 as bigint) as pointer_version, 'replayed' as second_build,"
+    " true as is_verified from ("
+    + " union all ".join(_fingerprint(table, view) for table, view in SYNTHETIC_VIEWS.items())
+    + ")",
+    "synthetic_movements": "select * from s_t_movements",
     "expected_results": "select count(*) as orders, cast(sum(sub+tax-discount) as bigint) as gross_cents"
     " from s_full",
     "inject_fault": "select order_id, total_cents + case when order_id=(select min(order_id) from f_orders)"
