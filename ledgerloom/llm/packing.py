@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import written
-from ledgerloom.llm.tokens import END_ID, encoder, tokenizer_path
+from ledgerloom.llm.tokens import BATCH_TEXTS, END_ID, encoder, tokenizer_path
 
 CAPACITY = 4096
 #: A bin with at most this much room left is final.
@@ -96,7 +96,7 @@ def _bins(ids: np.ndarray, fills: np.ndarray, pieces: pa.StructArray, ends: np.n
 def _local(
     batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int, with_ids: bool
 ) -> Iterator[pa.RecordBatch]:
-    encode = encoder(path).encode
+    encode = encoder(path).encode_batch
     end = np.asarray([end_id], "<u4").tobytes()
     serial = TaskContext.get().partitionId() << 36
     columns: list[list] = [[], [], [], [], [], []]
@@ -114,13 +114,16 @@ def _local(
         return _bins(ids, fills, pieces, np.append(first[1:], len(order)))
 
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            encoded = encode(text.as_py()) + end
-            for piece, start in enumerate(range(0, len(encoded) // 4, capacity)):
-                part = encoded[start * 4 : (start + capacity) * 4]
-                row = (key, piece, start, len(part) // 4, zlib.crc32(part), part if with_ids else None)
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
+        keys = batch.column(0).to_pylist()
+        for begin in range(0, len(keys), BATCH_TEXTS):
+            texts = batch.column(1).slice(begin, BATCH_TEXTS).to_pylist()
+            for key, ids in zip(keys[begin : begin + BATCH_TEXTS], encode(texts), strict=True):
+                encoded = ids + end
+                for piece, start in enumerate(range(0, len(encoded) // 4, capacity)):
+                    part = encoded[start * 4 : (start + capacity) * 4]
+                    row = (key, piece, start, len(part) // 4, zlib.crc32(part), part if with_ids else None)
+                    for column, value in zip(columns, row, strict=True):
+                        column.append(value)
             if len(columns[0]) >= LOCAL_PIECES:
                 yield packed()
     if columns[0]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import partitions
-from ledgerloom.llm.tokens import END_ID, encoder, tokenizer_path
+from ledgerloom.llm.tokens import BATCH_TEXTS, END_ID, encoder, tokenizer_path
 
 # Fixed values of the record format.
 MASK_DELTA = 0xA282EAD8
@@ -116,14 +116,16 @@ def write_records(
     end = np.asarray([end_id], "<u4").tobytes()
 
     def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokens).encode
+        encode = encoder(tokens).encode_batch
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            # The text writer adds the line end itself.
-            lines = [
-                frame_record(k, encode(t.as_py()) + end)[:-1] for k, t in zip(keys, texts, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], ["line"])
+            for begin in range(0, batch.num_rows, BATCH_TEXTS):
+                keys, texts = (c.slice(begin, BATCH_TEXTS).to_pylist() for c in batch.columns)
+                # The text writer adds the line end itself.
+                lines = [
+                    frame_record(key, ids + end)[:-1]
+                    for key, ids in zip(keys, encode(texts), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], ["line"])
 
     lines = ordered.mapInArrow(framed, "line binary").select(F.col("line").cast("string"))
     lines.write.option("compression", "none").option("lineSep", "\n").text(f"{path}/data")

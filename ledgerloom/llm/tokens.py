@@ -1,12 +1,18 @@
-"""Token ids of whole texts by a public tokenizer file, encoded word by word.
-
-The tokenizer drops white space before it merges, so no token crosses a blank or a line end, and neither
-does its normalisation. A text's ids are therefore the ids of its blank-separated words in order, and
-each distinct word needs to be encoded only once per worker.
+"""Token ids of whole texts by a public tokenizer file, each distinct word encoded once per worker.
+
+The tokenizer lower-cases, cuts a text into pre-tokens (letter runs, single digits, symbol runs, a few
+contractions) and merges within each of them; white space is dropped. So a text's ids are those of its
+words in order, and those of a word that ends in a letter and punctuation are its two parts' in order.
+Texts of Latin-1 characters, where lower case and letters depend on nothing but the character, are cut into
+words here; words that are letters only go to the tokenizer many at a time, one to a line. All other words,
+and all other texts, go to the tokenizer as they are.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -16,35 +22,97 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
 #: Words a worker remembers; when full it starts anew. This bounds memory and changes no result.
-REMEMBERED_WORDS = 400_000
+REMEMBERED = 800_000
 LONGEST_REMEMBERED = 64
+#: Texts that are encoded at once.
+BATCH_TEXTS = 256
+
+# Lower-case letters of Latin-1, punctuation that may follow a word, what begins a special
+# token, and characters that Python counts as white space but the tokenizer does not.
+_LETTERS = re.compile("[a-zªµºß-öø-ÿ]+")
+_PUNCTUATION = ".,!?;:"
+_AS_IS = re.compile("<\\||[\x1c-\x1f]")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class WordEncoder(dict):
-    """word -> ids as little-endian unsigned 32-bit integers."""
+def _packed(ids: Sequence[int]) -> bytes:
+    return np.asarray(ids, dtype="<u4").tobytes()
+
+
+class WordEncoder:
+    """Keeps word -> ids, as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
-        super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self._tokenizer.encode(word, add_special_tokens=False).ids
-        encoded = np.asarray(ids, dtype="<u4").tobytes()
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED_WORDS:
-                self.clear()
-            self[word] = encoded
-        return encoded
+        self.known: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _learn(self, words: set[str]) -> None:
+        parts = {word: word.rstrip(_PUNCTUATION) for word in words}
+        parts = {word: stem if _LETTERS.fullmatch(stem) else word for word, stem in parts.items()}
+        new = {part for part in parts.values() if part not in self.known}
+        runs = [part for part in new if _LETTERS.fullmatch(part)]
+        if runs:
+            found = self._tokenizer.encode("\n".join(runs), add_special_tokens=False)
+            ids, lines = np.asarray(found.ids, "<u4"), np.asarray(found.word_ids)
+            first = np.flatnonzero(np.diff(lines, prepend=-1))
+            if len(first) == len(runs):
+                data, ends = ids.tobytes(), np.append(first[1:], len(ids)) * 4
+                for run, begin, end in zip(runs, (first * 4).tolist(), ends.tolist(), strict=True):
+                    self.known[run] = data[begin:end]
+        for part in new:
+            if part not in self.known:
+                self.known[part] = self._whole(part)
+        for word, part in parts.items():
+            if word not in self.known:
+                tail = word[len(part) :]
+                if tail not in self.known:
+                    self.known[tail] = self._whole(tail)
+                self.known[word] = self.known[part] + self.known[tail]
+
+    def encode_batch(self, texts: Sequence[str | None]) -> list[bytes]:
+        """Ids of every whole text; null counts as empty."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        found: list[tuple[list[str], list[bytes | None], list[int]]] = []
+        new: set[str] = set()
+        for text in texts:
+            text = text or ""
+            if _AS_IS.search(text) or not _is_latin(text):
+                found.append(([], [self._whole(text)], []))
+                continue
+            words = text.lower().split()
+            ids = list(map(self.known.get, words))
+            unknown = [place for place, own in enumerate(ids) if own is None]
+            for place in unknown:
+                if len(words[place]) > LONGEST_REMEMBERED:
+                    ids[place] = self._whole(words[place])
+                else:
+                    new.add(words[place])
+            found.append((words, ids, unknown))
+        if new:
+            self._learn(new)
+        for words, ids, unknown in found:
+            for place in unknown:
+                if ids[place] is None:
+                    ids[place] = self.known[words[place]]
+        return [b"".join(ids) for _, ids, _ in found]
 
     def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text; null counts as empty."""
-        if not text:
-            return b""
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        return self.encode_batch([text])[0]
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

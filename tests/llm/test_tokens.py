@@ -26,8 +26,18 @@ def test_words_give_the_ids_of_the_text(pieces):
 
 
 def test_the_memory_of_words_is_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED_WORDS", 3)
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
     small = tokens.WordEncoder(tokens.tokenizer_path())
-    text = " ".join(f"word{n}" for n in range(50))
-    assert small.encode(text) == ENCODER.encode(text)
-    assert len(small) <= 3
+    for n in range(20):
+        text = f"word some{n} other{n} " + "x" * 100
+        assert small.encode(text) == ENCODER.encode(text)
+        assert len(small.known) < 12
+
+
+def test_all_latin_characters_alone_and_in_a_word():
+    import numpy as np
+
+    characters = [chr(n) for n in range(256)]
+    texts = characters + [f"a{c}b" for c in characters] + [f"1{c}'s{c}" for c in characters]
+    for text, ids in zip(texts, ENCODER.encode_batch(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == ids_of(text)[:-1], repr(text)
