@@ -8,12 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.batch import Batch
 from ledgerloom.functions import predicates, text
 from ledgerloom.operators import aggregates as agg
 from ledgerloom.operators import fingerprint, gates, inventory, lifecycle, metering, proofs, temporal
 from ledgerloom.plans import build, report
 from ledgerloom.schemas import TABLES
 from ledgerloom.session import fresh_dir
+from ledgerloom.skew import SkewPolicy
 from ledgerloom.sources import batch_files, generations, star_tables, synthetic
 from ledgerloom.sources.star_tables import faulted_batch, given
 
@@ -60,6 +62,46 @@ _batch_query("batch_metrics", agg.batch_metrics)
 _batch_query("running_stock", inventory.running_stock)
 
 
+# --- the same operators with every key of some rows treated as hot ------------------------------------
+
+# Low enough that the small tables have hot keys, so that the split paths have rows of their own.
+SPLIT = SkewPolicy(hot_rows=8, sample_fraction=1.0, slice_rows=2000)
+
+
+def _split_batch(spark: SparkSession, sf_dir: str) -> Batch:
+    tables = faulted_batch(spark, sf_dir).materialise()
+    return Batch(tables, star_tables.KNOWLEDGE_TIME, SPLIT)
+
+
+@query
+def split_running_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inventory.running_stock(_split_batch(spark, sf_dir))
+
+
+@query
+def split_gate_orphan_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.gate_orphan_line(_split_batch(spark, sf_dir))
+
+
+@query
+def split_gate_orphan_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments of one order and its neighbours repeated, so that an order is hot."""
+    batch = _split_batch(spark, sf_dir)
+    copies = F.explode(F.array_repeat(F.lit(1), 50)).alias("copy")
+    few = batch["payments"].filter(F.col("order_id") % 97 == 5).select("*", copies).drop("copy")
+    return gates.gate_orphan_payment(batch.replace(payments=batch["payments"].unionByName(few)))
+
+
+@query
+def split_lifecycle_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lifecycle.lifecycle_state(star_tables.action_log(spark, sf_dir), SPLIT)
+
+
+@query
+def split_pointer_cas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lifecycle.pointer_cas(star_tables.action_log(spark, sf_dir), SPLIT)
+
+
 @query
 def status_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = faulted_batch(spark, sf_dir)

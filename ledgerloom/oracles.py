@@ -689,6 +689,14 @@ BODIES: dict[str, str] = {
     " then 1 else 0 end as total_cents from f_orders",
 }
 
+for _name in ("running_stock", "gate_orphan_line", "lifecycle_state", "pointer_cas"):
+    BODIES[f"split_{_name}"] = BODIES[_name]
+_orphans = BODIES["gate_orphan_payment"]
+BODIES["split_gate_orphan_payment"] = (
+    f"select * from ({_orphans}) union all select o.* from ({_orphans}) o, range(50)"
+    " where cast(entity_id as bigint) in (select payment_id from f_payments where order_id%97=5)"
+)
+
 
 def _with_views(body: str) -> str:
     """The body preceded by the views it names, directly or through other views."""

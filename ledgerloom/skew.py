@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ class SkewPolicy:
 
 DEFAULT_POLICY = SkewPolicy()
 
-#: The column of a hot-key frame that says how many slices a key should be cut into.
+#: The column of a hot-key frame that says the slices' worth of rows that a key has.
 SLICES = "_slices"
 
 
@@ -58,7 +59,7 @@ def hot_keys(
         sampled.groupBy(*keys)
         .count()
         .filter(F.col("count") >= max(1, int(policy.hot_rows * fraction)))
-        .select(*keys, F.ceil(F.col("count") / fraction / policy.slice_rows).alias(SLICES))
+        .select(*keys, (F.col("count") / fraction / policy.slice_rows).alias(SLICES))
     )
     heaviest = found.toArrow()
     if heaviest.num_rows == 0:
@@ -133,7 +134,7 @@ def running_sums(
     hot_rows, other_rows = split_hot(prepared, hot, keys)
     shared_dir(frame.sparkSession)
     wanted = hot.agg(F.sum(SLICES)).first()[0]
-    slices = max(2, wanted, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slices = max(2, ceil(wanted), int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sliced = (
         hot_rows.repartitionByRange(slices, *keys, *order)
         .withColumn("_slice", F.spark_partition_id())
