@@ -164,7 +164,7 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     records.write_records(given(spark, sf_dir, "documents"), path)
     index = records.read_index(spark, path)
     starts = index.join(records.token_starts(index), "part")
-    read = records.read_records(spark, path, index).select(
+    read = records.read_records(spark, path).select(
         "part",
         "record",
         F.col("key").alias("doc_id"),

@@ -185,12 +185,14 @@ def token_starts(index: DataFrame) -> DataFrame:
 def read_records(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
     """part, record, key, ids (little-endian unsigned 32-bit) of the wanted index rows, or of all.
 
-    Any subset of the index may be asked for: each file is opened once and only the wanted frames in it are
-    parsed, at the places the index names.
+    All records are read file by file, where they lie. Any subset of the index may be asked for instead:
+    then each file is opened once and only the wanted frames in it are parsed, at the places the index
+    names.
     """
-    index = read_index(spark, path) if wanted is None else wanted
+    if wanted is None:
+        return _files(spark, path).mapInArrow(_walked, RECORD_DDL)
     # A file holds a bounded amount of text, so its list of places is bounded too.
-    places = index.groupBy("part").agg(F.collect_list(F.struct("offset", "record")).alias("places"))
+    places = wanted.groupBy("part").agg(F.collect_list(F.struct("offset", "record")).alias("places"))
     return _files(spark, path).join(places, "part").mapInArrow(_picked, RECORD_DDL)
 
 
@@ -201,17 +203,39 @@ RECORDS = pa.schema(
 BATCH_BYTES = 8_000_000
 
 
+def _parsed(part: int, data: memoryview, places: Iterator[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """The frames at (record, offset) places of one file, in batches of a bounded number of ids."""
+    rows, held = [], 0
+    for record, offset in places:
+        key, ids, _ = read_record(data, offset)
+        rows.append((part, record, key, ids.astype("<u4").tobytes()))
+        held += len(rows[-1][3])
+        if held >= BATCH_BYTES:
+            yield _batch(rows, RECORDS)
+            rows, held = [], 0
+    if rows:
+        yield _batch(rows, RECORDS)
+
+
+def _places(data: memoryview) -> Iterator[tuple[int, int]]:
+    record, offset = 0, 0
+    while offset < len(data):
+        yield record, offset
+        (length,) = LENGTH.unpack(data[offset : offset + LENGTH.size])
+        record, offset = record + 1, offset + length + LENGTH.size + 2 * CHECKSUM.size + len(LINE_END)
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            data = memoryview(content.as_buffer())
+            yield from _parsed(part, data, _places(data))
+
+
 def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parts, contents, places = (batch.column(n) for n in ("part", "content", "places"))
         for part, content, wanted in zip(parts.to_pylist(), contents, places, strict=True):
-            data, rows, held = memoryview(content.as_buffer()), [], 0
-            for place in sorted(wanted.as_py(), key=lambda p: p["offset"]):
-                key, ids, _ = read_record(data, place["offset"])
-                rows.append((part, place["record"], key, ids.astype("<u4").tobytes()))
-                held += len(rows[-1][3])
-                if held >= BATCH_BYTES:
-                    yield _batch(rows, RECORDS)
-                    rows, held = [], 0
-            if rows:
-                yield _batch(rows, RECORDS)
+            found = sorted((p["offset"], p["record"]) for p in wanted.as_py())
+            places_of = ((record, offset) for offset, record in found)
+            yield from _parsed(part, memoryview(content.as_buffer()), places_of)
