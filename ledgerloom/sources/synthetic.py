@@ -14,6 +14,11 @@ STORES = 3
 CATEGORIES = ("grocery", "home", "electronics")
 DAY = 86_400
 HOUR = 3_600
+ORDER_SPACING = 10
+PRICES, PRICE_STEP, LOWEST_PRICE = 50, 37, 1000
+DISCOUNT_EVERY, DISCOUNT_CENTS = 10, 100
+RETURN_EVERY, RETURN_DELAY = 17, 5
+LEAST_OPENING, OPENING_PER_ORDER = 100, 4
 FAULTS = (
     "broken_total",
     "excess_refund",
@@ -60,7 +65,7 @@ def synthetic_batch(
         index,
         _padded("o-", index, 8).alias("order_id"),
         _padded("s-", index % STORES + 1, 2).alias("store_id"),
-        (index * 10 + START_TS).alias("order_ts"),
+        (index * ORDER_SPACING + START_TS).alias("order_ts"),
         (_draw(index, seed, 0) + 1).alias("line_count"),
     )
     step = F.col("step")
@@ -75,19 +80,19 @@ def synthetic_batch(
         F.concat(F.lit("l-"), (step + 1).cast("string")).alias("line_id"),
         _product((index * 3 + step) % PRODUCTS + 1).alias("product_id"),
         (_draw(index, seed, step + 1) + 1).alias("quantity"),
-        ((index + step) % 50 * 37 + 1000).alias("unit_price_cents"),
+        ((index + step) % PRICES * PRICE_STEP + LOWEST_PRICE).alias("unit_price_cents"),
     )
     # Three lines at most: the subtotal is an expression over the order row, not an aggregate.
     per_line = F.transform(
         F.sequence(_long(0), F.col("line_count") - 1),
-        lambda line: (_draw(index, seed, line + 1) + 1) * ((index + line) % 50 * 37 + 1000),
+        lambda line: (_draw(index, seed, line + 1) + 1) * ((index + line) % PRICES * PRICE_STEP + LOWEST_PRICE),
     )
     subtotal = F.aggregate(per_line, _long(0), lambda total, value: total + value)
     tax = F.call_function("div", F.col("subtotal_cents") * 18, _long(100))
     orders = (
         heads.withColumn("subtotal_cents", subtotal)
         .withColumn("tax_cents", tax)
-        .withColumn("discount_cents", F.when(index % 10 == 0, _long(100)).otherwise(_long(0)))
+        .withColumn("discount_cents", F.when(index % DISCOUNT_EVERY == 0, _long(DISCOUNT_CENTS)).otherwise(_long(0)))
         .select(
             index,
             "order_id",
@@ -110,7 +115,7 @@ def synthetic_batch(
         F.col("total_cents").alias("amount_cents"),
         F.lit("CAPTURED").alias("status"),
     )
-    returned = lines.filter((index % 17 == 0) & (step == 0))
+    returned = lines.filter((index % RETURN_EVERY == 0) & (step == 0))
     returns = returned.select(
         _padded("ret-", index, 8).alias("return_id"),
         "order_id",
@@ -134,7 +139,7 @@ def synthetic_batch(
         F.concat_ws("-", F.lit("opening"), _product(F.col("number")), store).alias("movement_id"),
         _product(F.col("number")).alias("product_id"),
         store.alias("store_id"),
-        _long(max(100, order_count * 4)).alias("quantity_delta"),
+        _long(max(LEAST_OPENING, order_count * OPENING_PER_ORDER)).alias("quantity_delta"),
         F.lit("OPENING").alias("reason"),
         _long(START_TS - 1).alias("movement_ts"),
     )
@@ -153,7 +158,7 @@ def synthetic_batch(
 
     movements = opening.unionByName(
         moved(lines, "SALE", -F.col("quantity"), 0)
-    ).unionByName(moved(returned, "RETURN", _long(1), 5))
+    ).unionByName(moved(returned, "RETURN", _long(1), RETURN_DELAY))
     return Batch(
         {
             "orders": orders.drop("index"),
