@@ -14,6 +14,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: The name under which an operator carries its input row, so that no column of the input can clash.
 ROW = "row"
 
+#: What a Python worker keeps from task to task. Work of another kind clears it, to have the memory.
+KEPT_BY_WORKER: dict[str, object] = {}
+
 
 def carried(frame: DataFrame, **inner: Column) -> DataFrame:
     """The whole input row as one struct, beside the columns an operator works with."""

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.llm import common
 from ledgerloom.llm.common import ROW, carried, delivered
 
 #: Components of a vector.
@@ -141,6 +142,7 @@ def bundle(texts: list[str | None], owners: list[int], count: int) -> tuple[np.n
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per language of a partition: the sum of its documents' vectors."""
+    common.KEPT_BY_WORKER.clear()
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), batch.column(1)
@@ -191,6 +193,7 @@ def predict(
     matrix = np.stack(list(prototypes.values())) if names else np.zeros((0, DIMENSION))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.KEPT_BY_WORKER.clear()
         for batch in batches:
             for begin in range(0, batch.num_rows, BATCH_TEXTS):
                 part = batch.slice(begin, BATCH_TEXTS)

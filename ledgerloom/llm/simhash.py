@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.llm import common
 from ledgerloom.llm.common import ROW, WORD, carried, delivered, written
 
 #: Shingle length in words, most differing bits, and the seed of the shingle hash.
@@ -81,6 +82,7 @@ def fingerprinted(frame: DataFrame, text: str, length: int) -> DataFrame:
     )
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.KEPT_BY_WORKER.clear()
         for batch in batches:
             found = [simhash(t.as_py(), length) for t in batch.column("text")]
             signed = np.asarray(found, np.uint64).view(np.int64)

@@ -17,12 +17,14 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from ledgerloom.llm.common import KEPT_BY_WORKER
+
 #: The tokenizer file of the registered queries, and the id that ends a document.
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
 #: Words a worker remembers; when full it starts anew. This bounds memory and changes no result.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 LONGEST_REMEMBERED = 64
 #: Texts that are encoded at once.
 BATCH_TEXTS = 256
@@ -115,11 +117,8 @@ def _is_latin(text: str) -> bool:
     return True
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder of a tokenizer file, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    """The worker's encoder of a tokenizer file, kept until the worker does other work."""
+    if path not in KEPT_BY_WORKER:
+        KEPT_BY_WORKER[path] = WordEncoder(path)
+    return KEPT_BY_WORKER[path]
