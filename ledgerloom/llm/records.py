@@ -14,6 +14,9 @@ that hold checksums stays telling. Spark writes the files with its own text writ
 any bytes, and reads them with its binary-file reader: both go to any store that Spark knows, and a
 failed task leaves nothing behind. Files hold consecutive ranges of keys, in the order of their part
 numbers. The index is a Parquet table of file, place and size of every record.
+
+Ranges of keys even out rows, not characters, so a task goes on in a further file when one is full: it
+hands its records to the writer as one value per file, and the writer begins a file with each value.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,11 +41,18 @@ CHECKSUM = struct.Struct("<I")
 PAYLOAD_HEAD = struct.Struct("<qBBI")
 LINE_END = b"\n"
 
-#: Characters of text that go to one file; a file must be read whole, so this bounds a task's memory.
+#: Characters of text, and bytes of records, that a file has at most, unless it holds a single record. A file
+#: must be read whole, so this bounds a task's memory.
 CHARS_PER_FILE = 32_000_000
+#: Characters that a record counts besides its text, for its frame.
+FRAME_CHARS = 32
+#: Characters of texts that are encoded at once, unless one text has more.
+BATCH_CHARS = 4_000_000
+#: More files than Spark's writer lets one task begin; a file's number is its task's times this, and its own.
+FILES_PER_TASK = 1_000_001
 
-RECORD_DDL = "part int, record int, key long, ids binary"
-INDEX_DDL = "part int, record int, offset long, size long, key long, n_tokens long, first_token long"
+RECORD_DDL = "part long, record int, key long, ids binary"
+INDEX_DDL = "part long, record int, offset long, size long, key long, n_tokens long, first_token long"
 
 
 class RecordError(ValueError):
@@ -101,14 +112,15 @@ def write_records(
 
     Null keys come first and stay null; null text counts as empty and holds the end id alone; repeated
     rows are written each for itself, rows of one key in the order of their texts' hashes. An empty table
-    gives no record. Other columns take no part. A text of any length is one record.
+    gives no record. Other columns take no part. A text of any length is one record. No file has more than
+    `chars_per_file` characters of text or bytes, but for a single record that alone has more.
     """
     spark = frame.sparkSession
     tokens = tokenizer or tokenizer_path()
     rows = frame.select(
         F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text")
     )
-    chars = rows.agg(F.sum(F.length("text"))).first()[0]
+    chars = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + FRAME_CHARS)).first()[0]
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange(
         partitions(spark, chars, chars_per_file), F.asc_nulls_first("key"), tie
@@ -117,24 +129,47 @@ def write_records(
 
     def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokens).encode_batch
+        held: list[bytes] = []
+        held_chars = held_bytes = 0
         for batch in batches:
-            for begin in range(0, batch.num_rows, BATCH_TEXTS):
-                keys, texts = (c.slice(begin, BATCH_TEXTS).to_pylist() for c in batch.columns)
-                # The text writer adds the line end itself.
-                lines = [
-                    frame_record(key, ids + end)[:-1]
-                    for key, ids in zip(keys, encode(texts), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], ["line"])
+            for keys, texts in _encoded_at_once(batch):
+                for key, text, ids in zip(keys, texts, encode(texts), strict=True):
+                    record, chars = frame_record(key, ids + end), len(text or "") + FRAME_CHARS
+                    if held and max(held_chars + chars, held_bytes + len(record)) > chars_per_file:
+                        yield _file_content(held)
+                        held, held_chars, held_bytes = [], 0, 0
+                    held.append(record)
+                    held_chars, held_bytes = held_chars + chars, held_bytes + len(record)
+        if held:
+            yield _file_content(held)
 
     lines = ordered.mapInArrow(framed, "line binary").select(F.col("line").cast("string"))
-    lines.write.option("compression", "none").option("lineSep", "\n").text(f"{path}/data")
+    writer = lines.write.option("compression", "none").option("lineSep", "\n")
+    writer.option("maxRecordsPerFile", 1).text(f"{path}/data")
     files = _files(spark, path)
     files.mapInArrow(_indexed, INDEX_DDL).write.parquet(f"{path}/index")
 
 
+def _encoded_at_once(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
+    """Keys and texts of a batch, a bounded number of texts and of characters at once."""
+    begin, chars = 0, 0
+    for end, length in enumerate(pc.utf8_length(batch.column(1)).to_pylist()):
+        if end > begin and (end - begin >= BATCH_TEXTS or chars + (length or 0) > BATCH_CHARS):
+            yield tuple(c.slice(begin, end - begin).to_pylist() for c in batch.columns)
+            begin, chars = end, 0
+        chars += length or 0
+    if begin < batch.num_rows:
+        yield tuple(c.slice(begin).to_pylist() for c in batch.columns)
+
+
+def _file_content(records: list[bytes]) -> pa.RecordBatch:
+    # The text writer adds the last line end itself.
+    return pa.RecordBatch.from_arrays([pa.array([b"".join(records)[:-1]], pa.binary())], ["line"])
+
+
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    part = F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("part")
+    task, file = (F.regexp_extract("path", r"part-(\d+)-.*-c(\d+)", n).cast("long") for n in (1, 2))
+    part = (task * FILES_PER_TASK + file).alias("part")
     found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/data")
     return found.select(part, "content")
 
@@ -152,7 +187,7 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 INDEX = pa.schema(
     [
-        ("part", pa.int32()),
+        ("part", pa.int64()),
         ("record", pa.int32()),
         ("offset", pa.int64()),
         ("size", pa.int64()),
@@ -197,7 +232,7 @@ def read_records(spark: SparkSession, path: str, wanted: DataFrame | None = None
 
 
 RECORDS = pa.schema(
-    [("part", pa.int32()), ("record", pa.int32()), ("key", pa.int64()), ("ids", pa.binary())]
+    [("part", pa.int64()), ("record", pa.int32()), ("key", pa.int64()), ("ids", pa.binary())]
 )
 #: Bytes of ids after which a batch is handed on.
 BATCH_BYTES = 8_000_000

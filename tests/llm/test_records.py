@@ -72,3 +72,23 @@ def test_empty_table(spark):
     path = written(spark, empty(spark))
     assert records.read_records(spark, path).count() == 0
     assert records.token_starts(records.read_index(spark, path)).count() == 0
+
+
+def test_long_texts_side_by_side_do_not_overfill_a_file(spark):
+    rows = [(n, f"wort {n}") for n in range(400)] + [(400 + n, f"{n} lang " * 700) for n in range(40)]
+    rows += [(900, "immer gleich " * 400)] * 40 + [(950, "zu lang " * 4000), (None, None), (951, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    path = written(spark, table, chars_per_file=20_000)
+    files = records._files(spark, path).selectExpr("part", "length(content) as size").collect()
+    read = records.read_records(spark, path).orderBy("part", "record").collect()
+    texts, held = {n: len(text or "") for n, text in rows}, {}
+    for r in read:
+        held.setdefault(r.part, []).append(texts[r.key])
+    assert all(sum(lengths) <= 20_000 or len(lengths) == 1 for lengths in held.values())
+    assert all(f.size <= 20_000 or len(held[f.part]) == 1 for f in files)
+    assert [r.key for r in read] == sorted((n for n, _ in rows), key=lambda n: -1 if n is None else n)
+    assert sorted((str(r.key), np.frombuffer(r.ids, "<u4").tolist()) for r in read) == sorted(
+        (str(n), ids_of(text)) for n, text in rows
+    )
+    some = records.read_index(spark, path).filter(F.col("key") >= 395)
+    assert records.read_records(spark, path, some).count() == some.count() == 5 + 40 + 40 + 2
