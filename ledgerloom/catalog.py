@@ -62,10 +62,11 @@ _batch_query("batch_metrics", agg.batch_metrics)
 _batch_query("running_stock", inventory.running_stock)
 
 
-# --- the same operators with every key of some rows treated as hot ------------------------------------
+# --- the same operators with the heaviest keys of some rows treated as hot ----------------------------
 
-# Low enough that the small tables have hot keys, so that the split paths have rows of their own.
-SPLIT = SkewPolicy(hot_rows=8, sample_fraction=1.0, slice_rows=2000)
+# Low enough that the small tables have hot keys, so that the split paths have rows of their own; no more
+# keys than that whatever the size, because they are literals.
+SPLIT = SkewPolicy(hot_rows=8, sample_fraction=1.0, slice_rows=2000, most_keys=256)
 
 
 def _split_batch(spark: SparkSession, sf_dir: str) -> Batch:

@@ -22,12 +22,14 @@ class SkewPolicy:
     """A key is hot from about `hot_rows` rows on; a slice of a hot key has `slice_rows` or so.
 
     There can be no more hot keys than the rows of a frame divided by `hot_rows`: some thousands, even
-    where a frame has tens of billions of rows.
+    where a frame has tens of billions of rows. A policy with a threshold too low for that sets `most_keys`:
+    only so many keys, the heaviest, are hot then, and all others go the ordinary way.
     """
 
     hot_rows: int = 4_000_000
     sample_fraction: float = 0.001
     slice_rows: int = 1_000_000
+    most_keys: int | None = None
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -42,7 +44,7 @@ def hot_keys(
     policy: SkewPolicy = DEFAULT_POLICY,
     rows: int | None = None,
 ) -> DataFrame | None:
-    """All hot keys and their estimated rows as a literal frame, None when there are none.
+    """All hot keys (`most_keys` at most) and their estimated rows as a literal frame, None without any.
 
     A frame of fewer rows than make a key hot has none; its count is metadata for Parquet. Otherwise
     one job counts keys on a sample of the key columns. The keys are pinned as literals, so the two
@@ -61,6 +63,8 @@ def hot_keys(
         .filter(F.col("count") >= max(1, int(policy.hot_rows * fraction)))
         .select(*keys, (F.col("count") / fraction / policy.slice_rows).alias(SLICES))
     )
+    if policy.most_keys is not None:
+        found = found.orderBy(F.desc(SLICES), *keys).limit(policy.most_keys)
     heaviest = found.toArrow()
     if heaviest.num_rows == 0:
         return None

@@ -9,6 +9,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from golden import added, as_batch, golden_rows
+from ledgerloom.catalog import SPLIT
 from ledgerloom.operators import gates, lifecycle, temporal
 from ledgerloom.operators.inventory import running_stock
 from ledgerloom.plans.report import violation_report
@@ -72,6 +73,27 @@ def test_lookup_join_splits_hot_keys(spark, how, policy):
     )
 
 
+def test_the_split_queries_have_few_hot_keys_at_any_size(spark):
+    """Every key has rows enough to be hot; only the heaviest of a fixed number are, and no row changes."""
+    frame = spark.range(40_000).select(
+        F.when(F.col("id") < 500, 1).otherwise(F.col("id") % 3_000).alias("k"), "id", F.lit(2).alias("v")
+    )
+    hot = hot_keys(frame, ["k"], SPLIT)
+    assert hot.count() == SPLIT.most_keys < 3_000
+    assert hot.filter("k = 1").count() == 1
+    sums = {"total": F.col("v")}
+    assert rows_of(running_sums(frame, ["k"], ["id"], sums, hot)) == rows_of(
+        running_sums(frame, ["k"], ["id"], sums)
+    )
+
+
+@pytest.mark.parametrize("table, keys", [("inventory_movements", ["product_id", "store_id"])])
+def test_small_tables_still_take_both_paths(spark, small, table, keys):
+    movements = faulted_batch(spark, small)[table]
+    hot = hot_keys(movements, keys, SPLIT)
+    assert 0 < hot.count() <= SPLIT.most_keys < movements.select(*keys).distinct().count()
+
+
 def test_few_rows_have_no_hot_keys(spark):
     assert hot_keys(skewed(spark, 100), ["k"]) is None
 
