@@ -9,12 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.session import literal_frame
-
 #: Hex digits of a digest that the equi-join compares.
 PREFIX_DIGITS = 8
 
@@ -33,8 +30,13 @@ def url_path(url: Column) -> Column:
 
 def rule_table(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> DataFrame:
     """(verdict, host, path) triples as a table."""
-    rows = [{"verdict": v, "host": h, "path": p} for v, h, p in rules]
-    return literal_frame(spark, rows, verdict=pa.string(), host=pa.string(), path=pa.string())
+    names = ("verdict", "host", "path")
+    rows = [
+        F.struct(*[F.lit(value).cast("string").alias(name) for name, value in zip(names, rule, strict=True)])
+        for rule in rules
+    ]
+    kind = "array<struct<verdict: string, host: string, path: string>>"
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows).cast(kind)))
 
 
 def _expression(host: Column, path: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 from ledgerloom.llm import url_rules
 from ledgerloom.llm.queries import URL_RULES
@@ -65,3 +66,11 @@ def test_no_python_in_the_plan(spark, small):
     frame = url_rules.judge(pages, url_rules.rule_table(spark, URL_RULES))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_rules_are_made_by_dataframe_functions(spark):
+    assert "arrow" not in Path(url_rules.__file__).read_text()
+    rules = [*URL_RULES, ("block", None, "/"), ("allow", "org", None), ("allow", "org", None)]
+    assert sorted(map(str, url_rules.rule_table(spark, rules).collect())) == sorted(
+        f"Row(verdict={v!r}, host={h!r}, path={p!r})" for v, h, p in rules
+    )
