@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
+from zlib import crc32
 
 import pytest
 
@@ -75,3 +77,26 @@ def test_rejected_documents_go(spark, small):
     rows = [(1, "das ist ein Satz", "de", "a", 16), (2, "123 !!!", "de", "a", 7), (3, None, None, "a", 0)]
     docs = spark.createDataFrame(rows, DOCUMENT_DDL)
     assert [r.doc_id for r in corpus_pipeline.identified(spark, docs, small).collect()] == [1]
+
+
+def test_noise_goes_and_single_words_stay(spark, small):
+    draw = random.Random(11)
+    given = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    alphabets = ["0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмно", "αβγδεζηθικλμνξ"]
+    alphabets.append("".join(map(chr, range(0x4E00, 0x5000))))
+    noise = ["".join(draw.choices(letters, k=500)) for letters in alphabets for _ in range(20)]
+    texts = [r.text for r in given.limit(150).collect()]
+    words = [word for text in texts for word in text.split()[:1] if any(map(str.isalpha, word))]
+    rows = [(10**9 + n, text, None, "a", len(text)) for n, text in enumerate(noise)]
+    rows += [(2 * 10**9 + n, word, None, "a", len(word)) for n, word in enumerate(words)]
+    docs = given.unionByName(spark.createDataFrame(rows, DOCUMENT_DDL))
+    kept = Counter(r.doc_id // 10**9 for r in corpus_pipeline.identified(spark, docs, small).collect())
+    assert kept[1] <= len(noise) // 20
+    assert (kept[0], kept[2]) == (given.count(), len(words))
+
+
+def test_language_id_learns_from_every_labelled_row(spark, small):
+    """One labelled document, which op9 would hold out."""
+    held_out = next(n for n in range(100) if crc32(str(n).encode()) % 4 == 2)
+    docs = spark.createDataFrame([(held_out, "das ist ein Satz", "de", "a", 16)], DOCUMENT_DDL)
+    assert corpus_pipeline.identified(spark, docs, small).count() == 1
