@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import (
     chat,
     chunks,
+    conversations,
     language,
+    lines,
     mixing,
     packing,
     records,
@@ -20,6 +22,7 @@ from ledgerloom.llm import (
     simhash,
     topk,
     url_rules,
+    whitening,
 )
 from ledgerloom.llm.common import word_count, written
 from ledgerloom.session import fresh_dir
@@ -191,3 +194,79 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = given(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, TOP)
+
+
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = given(spark, sf_dir, "documents").select("doc_id", "text")
+    left = lines.drop_repeated_lines(documents)
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """The rows of the registered query: dropped, emptied, cut, repeated or given to the user, by a checksum.
+
+    A dropped row stays as one that is no turn, so that its conversation is known.
+    """
+
+    def known(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fate = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn")).cast("binary")) % 20
+    fated = turns.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"), fate.alias("fate"))
+    cut = F.regexp_replace("text", "[.!?]", "")
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(F.col("fate") == 3, 2).otherwise(1))).alias("copy")
+    return fated.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fate") == 4, conversations.USER).otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, cut).otherwise(F.col("text")).alias("text"),
+        (F.col("fate") != 0).alias("is_turn"),
+        copies,
+    )
+
+
+REPAIRED_DDL = (
+    "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, "
+    "audit string, repaired_sha256 string"
+)
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per conversation; its parts follow each other."""
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    current = None
+
+    def closed() -> tuple:
+        conv, totals, audit, digest, _ = current
+        return (conv, *totals, "".join(audit), digest.hexdigest())
+
+    for batch in batches:
+        rows = []
+        for part in batch.to_pylist():
+            if part["part"] == 0:
+                if current:
+                    rows.append(closed())
+                current = [part["conv_id"], [0] * len(counts), [], hashlib.sha256(), False]
+            current[1] = [total + part[name] for total, name in zip(current[1], counts, strict=True)]
+            current[2].append(part["audit"])
+            for role, text in zip(part["roles"], part["texts"], strict=True):
+                current[3].update(f"{chr(10) if current[4] else ''}{role}:{text}".encode())
+                current[4] = True
+        if rows:
+            yield _rows(rows, REPAIRED_DDL)
+    if current:
+        yield _rows([closed()], REPAIRED_DDL)
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = damaged(given(spark, sf_dir, "conversations"))
+    parts = conversations.repair(turns, F.col("is_turn"))
+    ordered = parts.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return ordered.mapInArrow(_digests, REPAIRED_DDL)
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(given(spark, sf_dir, "embeddings"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerloom.llm.lines import LEAST_CHARS, LEAST_DOCUMENTS
 from ledgerloom.llm.queries import EXTRA_CONVERSATION, EXTRA_TEXT, TOP, URL_RULES
 
 ORACLES: dict[str, str] = {}
@@ -62,3 +63,21 @@ select conv_id, count(*) as n_turns,
 from escaped group by conv_id
 """
 
+ORACLES["op11_line_dedup"] = f"""
+with split as (
+  select row_number() over () as place, doc_id, string_split(coalesce(text, ''), chr(10)) as lines
+  from documents),
+lined as (
+  select place, doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as nr from split),
+keyed as (
+  select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lined),
+shared as (
+  select key, max(doc_id) as keeper from keyed where length(key) >= {LEAST_CHARS}
+  group by key having count(distinct doc_id) >= {LEAST_DOCUMENTS}),
+judged as (
+  select k.*, coalesce(k.doc_id <> s.keeper, false) as goes from keyed k left join shared s on k.key = s.key)
+select doc_id, count(*) as n_lines, cast(count(*) filter (goes) as bigint) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by nr) filter (not goes), '')) as kept_sha256
+from judged group by place, doc_id
+"""
