@@ -93,6 +93,11 @@ def split_gate_orphan_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.gate_orphan_payment(batch.replace(payments=batch["payments"].unionByName(few)))
 
 
+@query
+def split_resolve_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return temporal.resolve_product(_split_batch(spark, sf_dir)).drop("dimension_matches")
+
+
 @query
 def split_lifecycle_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.lifecycle_state(star_tables.action_log(spark, sf_dir), SPLIT)

@@ -14,6 +14,9 @@ LINE = ["order_id", "line_id", "product_id"]
 EVENT = [*LINE, "order_ts"]
 VERSION = ["category", "effective_from", "effective_to", "loaded_at"]
 
+#: Segments of one product that stand in one row.
+SEGMENTS_PER_ROW = 128
+
 
 def known_versions(products: DataFrame, knowledge_time: int) -> DataFrame:
     return products.filter(F.col("loaded_at") <= knowledge_time)
@@ -105,23 +108,100 @@ def segments(batch: Batch) -> DataFrame:
     )
 
 
+def search(starts: str, moment: str) -> Column:
+    """Place of the last of sorted starts that is not after the moment, -1 if there is none.
+
+    A binary search as one expression: from the largest power of two downwards, a step is taken where the start
+    it leads to is not too late.
+    """
+    starts, moment = F.col(starts), F.col(moment)
+    powers = F.sequence(F.ceil(F.log2(F.size(starts) + 1)).cast("int"), F.lit(0), F.lit(-1))
+    return F.aggregate(
+        F.transform(powers, lambda power: F.pow(F.lit(2), power).cast("int")),
+        F.lit(-1),
+        lambda place, step: place
+        + F.when(F.get(starts, place + step) <= moment, step).otherwise(F.lit(0)),
+    )
+
+
+def segment_rows(batch: Batch) -> DataFrame:
+    """Segments as sorted arrays: (segment_product, chunk, starts, items), SEGMENTS_PER_ROW at most in a row.
+
+    Chunks are runs of a product's segments in time, numbered from 0. Written once per batch.
+    """
+
+    def build() -> DataFrame:
+        line = Window.partitionBy("segment_product").orderBy("segment_from")
+        item = F.struct("segment_from", "dimension_matches", *VERSION)
+        place = F.row_number().over(line) - 1
+        return (
+            segments(batch)
+            .select(
+                "segment_product",
+                item.alias("item"),
+                F.floor(place / SEGMENTS_PER_ROW).cast("int").alias("chunk"),
+                "segment_from",
+            )
+            .groupBy("segment_product", "chunk")
+            .agg(F.sort_array(F.collect_list("item")).alias("items"))
+            .select("segment_product", "chunk", F.col("items.segment_from").alias("starts"), "items")
+        )
+
+    return batch.kept("segments", build)
+
+
 def dimension_matches(events: DataFrame, batch: Batch) -> DataFrame:
     """Events with `dimension_matches` and the version columns, set where the match is unique.
 
-    An event lies in at most one segment of its product, so the join gives one row for each event,
-    repeated events included, and nothing is grouped afterwards. Events are the left side: whichever join
-    Spark takes for the size it meets, it can split the events of a hot product.
+    An equi join on the product brings each event its product's sorted segments, and a binary search finds
+    the one the event lies in, so the time does not depend on the versions of a product. A product with more
+    segments than a row holds has a directory instead: the starts of its chunks. A binary search there gives
+    the chunk, which is a second key of a second equi join. One row comes out for each event, repeated events
+    included. Events are the left side: whichever join Spark takes for the size it meets, it can split the
+    events of a hot product.
     """
-    lies_in = (F.col("product_id") == F.col("segment_product")) & valid_at(
-        F.col("segment_from"), F.col("segment_to"), F.col("order_ts")
+    rows = segment_rows(batch)
+    long_products = (
+        rows.groupBy("segment_product")
+        .agg(F.sort_array(F.collect_list(F.get("starts", F.lit(0)))).alias("heads"))
+        .filter(F.size("heads") > 1)
     )
-    return events.join(segments(batch), lies_in, "left").select(
+    if rows.filter("chunk > 0").isEmpty():
+        found = _found(events, rows.drop("chunk"), F.lit(True))
+    else:
+        # Chunk 0 of every product, and the directory of the long ones.
+        first = rows.filter("chunk = 0").drop("chunk").join(long_products, "segment_product", "left")
+        shallow = _found(events, first, F.col("heads").isNull(), "heads").withColumn(
+            "chunk", F.when(F.col("heads").isNotNull(), search("heads", "order_ts"))
+        )
+        deeper = rows.filter("chunk >= 0").join(
+            long_products.select("segment_product"), "segment_product", "left_semi"
+        )
+        kept = [*events.columns, "item"]
+        found = _found(
+            shallow.select(*kept, "chunk").withColumnRenamed("item", "shallow_item"),
+            deeper.withColumnRenamed("chunk", "of_chunk"),
+            F.lit(True),
+            on=F.col("chunk") == F.col("of_chunk"),
+        ).withColumn("item", F.coalesce("shallow_item", "item"))
+    return found.select(
         *events.columns,
-        F.coalesce("dimension_matches", F.lit(0).cast("bigint")).alias("dimension_matches"),
-        *VERSION,
+        F.coalesce("item.dimension_matches", F.lit(0).cast("bigint")).alias("dimension_matches"),
+        *[F.col(f"item.{name}").alias(name) for name in VERSION],
     )
 
 
+def _found(
+    events: DataFrame, rows: DataFrame, is_whole: Column, *carried: str, on: Column | None = None
+) -> DataFrame:
+    """Events with the item of their product's row that they lie in, where the row is whole."""
+    same = F.col("product_id") == F.col("segment_product")
+    joined = events.join(rows, same if on is None else same & on, "left")
+    # Before the first start the place is -1, and nothing is there.
+    item = F.when(is_whole, F.get(F.col("items"), search("starts", "order_ts")))
+    return joined.select(*events.columns, *carried, item.alias("item"))
+
+
 def resolve_product(batch: Batch) -> DataFrame:
     """Each line with its product version, null columns unless exactly one version matches."""
     return dimension_matches(line_events(batch), batch)

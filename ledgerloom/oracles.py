@@ -689,7 +689,7 @@ BODIES: dict[str, str] = {
     " then 1 else 0 end as total_cents from f_orders",
 }
 
-for _name in ("running_stock", "gate_orphan_line", "lifecycle_state", "pointer_cas"):
+for _name in ("running_stock", "resolve_product", "gate_orphan_line", "lifecycle_state", "pointer_cas"):
     BODIES[f"split_{_name}"] = BODIES[_name]
 _orphans = BODIES["gate_orphan_payment"]
 BODIES["split_gate_orphan_payment"] = (

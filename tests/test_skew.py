@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from golden import added, as_batch, golden_rows
+from golden import START, added, as_batch, golden_rows
 from ledgerloom.catalog import SPLIT
 from ledgerloom.operators import gates, lifecycle, temporal
 from ledgerloom.operators.inventory import running_stock
@@ -242,3 +242,37 @@ def test_lifecycle_splits_hot_batches(spark, small, name):
     log = action_log(spark, small)
     operator = getattr(lifecycle, name)
     assert rows_of(operator(log, SOME_HOT)) == rows_of(operator(log))
+
+
+def test_one_product_of_ten_thousand_versions(spark):
+    """Directories of chunks: the same matches as by arithmetic, beside products of one version or none."""
+    versions, begin = 10_000, START
+    products = [("p-1", f"c{n}", begin + 10 * n, begin + 10 * n + 10, begin) for n in range(versions) if n % 7]
+    products += [("p-1", "wide", begin + 500, begin + 520, begin), ("p-2", "only", begin, None, begin)]
+    frame = spark.createDataFrame(
+        products, "product_id string, category string, effective_from long, effective_to long, loaded_at long"
+    )
+    batch = as_batch(spark, golden_rows()).replace(products=frame)
+    times = [begin - 1, begin, begin + 9, begin + 499, begin + 505, begin + 519, begin + 520, begin + 99_999, begin + 100_000]
+    times += range(begin + 3, begin + 100_000, 1_237)
+    events = [(n, "l", p, t) for p in ("p-1", "p-2", "p-3") for n, t in enumerate(times)] + [(0, "l", "p-1", None)]
+    found = temporal.dimension_matches(
+        spark.createDataFrame(events, "order_id long, line_id string, product_id string, order_ts long"), batch
+    ).collect()
+    assert len(found) == len(events)
+    for row in found:
+        t, expected = row["order_ts"], []
+        if t is not None and row["product_id"] == "p-2":
+            expected = ["only"] * (t >= begin)
+        elif t is not None and row["product_id"] == "p-1":
+            n = (t - begin) // 10
+            expected = [f"c{n}"] * (0 <= n < versions and n % 7 > 0) + ["wide"] * (500 <= t - begin < 520)
+        assert row["dimension_matches"] == len(expected)
+        assert row["category"] == (expected[0] if len(expected) == 1 else None)
+
+
+def test_search_finds_the_last_start(spark):
+    rows = [([*range(0, 2 * n, 2)], t) for n in (0, 1, 2, 3, 126, 127, 128, 1000) for t in (-1, 0, 1, n, 2 * n - 2, 9999)]
+    frame = spark.createDataFrame(rows, "starts array<long>, t long")
+    for row in frame.select("starts", "t", temporal.search("starts", "t").alias("place")).collect():
+        assert row["place"] == sum(s <= row["t"] for s in row["starts"]) - 1
