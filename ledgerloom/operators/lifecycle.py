@@ -7,11 +7,15 @@ are counted with running sums, which split over tasks where one batch holds much
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import ceil
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import TABLES
-from ledgerloom.session import shared_dir
+from ledgerloom.session import fresh_dir
 from ledgerloom.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, lookup_join, running_sums
 
 # States and actions.
@@ -201,84 +205,134 @@ def replay_classification(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -
     )
 
 
-def _chained_acceptances(attempts: DataFrame, policy: SkewPolicy) -> DataFrame:
-    """Compare-and-swap over pointers of any size, without a fold over a pointer's attempts.
+MAPS_DDL = "pointer_id long, slice int, entry long, exit long"
+ENTRIES_DDL = "pointer_id long, slice int, entry long"
+SWAPS_DDL = "pointer_id long, slice int, seq long, version long"
+
+
+def _composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices, last attempt first, to their maps from the version on entry to the version on exit.
 
-    An accepted attempt expecting version v is followed by the first later attempt expecting v + 1.
-    That successor is a running minimum over attempts in reverse order, found per link; the accepted
-    ones are those reachable from the first attempt expecting 0, found by doubling the step length.
+    An attempt that expects v leads on as v + 1 does after it; versions that nobody expects stay as they are.
     """
-    nodes = attempts.select("pointer_id", "seq", "expected")
-    # Each attempt is asked about under the link it opens and offered under the link it closes.
-    asked = nodes.select(
-        "pointer_id", F.col("expected").alias("link"), "seq", F.lit(None).cast("bigint").alias("offer")
-    )
-    offered = nodes.filter(F.col("expected") > 0).select(
-        "pointer_id", (F.col("expected") - 1).alias("link"), "seq", F.col("seq").alias("offer")
-    )
-    links = asked.unionByName(offered)
-    # Count the offers up to each attempt; its successor is the offer with the next number.
-    numbered = running_sums(
-        links.withColumn("is_offer", F.col("offer").isNotNull().cast("bigint")),
-        ["pointer_id", "link"],
-        ["seq"],
-        {"n_offer": F.col("is_offer")},
-        hot_keys(links, ["pointer_id", "link"], policy),
-    )
-    offers = numbered.filter("is_offer = 1").select(
-        "pointer_id", "link", (F.col("n_offer") - 1).alias("n_offer"), F.col("offer").alias("next_seq")
-    )
-    # Many attempts can wait for one offer, and any of them may turn out to be the accepted one.
-    waiting = numbered.filter("is_offer = 0").select("pointer_id", "link", "n_offer", "seq")
-    steps = lookup_join(
-        waiting,
-        offers,
-        ["pointer_id", "link", "n_offer"],
-        "inner",
-        hot_keys(waiting, ["pointer_id", "link", "n_offer"], policy),
-    ).select("pointer_id", "seq", "next_seq")
-    shared_dir(attempts.sparkSession)
-    reached = (
-        nodes.filter("expected = 0").groupBy("pointer_id").agg(F.min("seq").alias("seq"))
-    ).checkpoint()
-    steps = steps.checkpoint()
-    while True:
-        found = reached.join(steps, ["pointer_id", "seq"]).select(
-            "pointer_id", F.col("next_seq").alias("seq")
-        )
-        grown = reached.unionByName(found).distinct().checkpoint()
-        if grown.count() == reached.count():
-            return grown
-        reached = grown
-        # Many steps may lead to one attempt, which has one step of its own.
-        onward = steps.select("pointer_id", F.col("seq").alias("next_seq"), F.col("next_seq").alias("beyond"))
-        keys = ["pointer_id", "next_seq"]
-        steps = (
-            lookup_join(steps, onward, keys, "inner", hot_keys(steps, keys, policy))
-            .select("pointer_id", "seq", F.col("beyond").alias("next_seq"))
-            .checkpoint()
+    current, exits = None, {}
+
+    def closed() -> pa.RecordBatch:
+        columns = ([current[0]] * len(exits), [current[1]] * len(exits), list(exits), list(exits.values()))
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+        arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["pointer_id", "slice", "entry", "exit"])
+
+    for batch in batches:
+        for pointer, number, expected in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if (pointer, number) != current:
+                if exits:
+                    yield closed()
+                current, exits = (pointer, number), {}
+            exits[expected] = exits.get(expected + 1, expected + 1)
+    if exits:
+        yield closed()
+
+
+def _entered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Maps of a pointer's slices in order to the version on entry of each: maps applied one after another."""
+    pointer = number = None
+    version = following = 0
+    for batch in batches:
+        rows = []
+        for own, place, entry, leads_to in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if own != pointer:
+                pointer, number, following = own, None, 0
+            if place != number:
+                number, version = place, following
+                rows.append((pointer, number, version))
+            if entry == version:
+                following = leads_to
+        if rows:
+            kinds = (pa.int64(), pa.int32(), pa.int64())
+            arrays = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["pointer_id", "slice", "entry"])
+
+
+def _swapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Attempts of a slice in order, with its version on entry, to the accepted ones and their new versions."""
+    current, version = None, 0
+    for batch in batches:
+        rows = []
+        for pointer, number, seq, expected, entry in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if (pointer, number) != current:
+                current, version = (pointer, number), entry
+            if expected == version:
+                version += 1
+                rows.append((pointer, number, seq, version))
+        if rows:
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            arrays = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["pointer_id", "slice", "seq", "version"])
+
+
+def _sliced(attempts: DataFrame, policy: SkewPolicy) -> DataFrame:
+    """Attempts cut into ranges of (pointer, seq) of about `slice_rows` rows, written so that they stay so."""
+    spark = attempts.sparkSession
+    slices = ceil(attempts.count() / policy.slice_rows)
+    path = fresh_dir(spark, "attempts")
+    if slices > 1:
+        attempts = attempts.repartitionByRange(slices, "pointer_id", "seq").withColumn(
+            "slice", F.spark_partition_id()
         )
+    else:
+        attempts = attempts.withColumn("slice", F.lit(0))
+    attempts.write.parquet(path)
+    return spark.read.schema(attempts.schema).parquet(path)
 
 
 def pointer_cas(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Every publication attempt in order: PUBLISHED if it expected the current version, else stale.
 
-    The version starts at 0 and grows by one with each accepted attempt.
+    The version starts at 0 and grows by one with each accepted attempt. A slice of a pointer's attempts is
+    a map from the version on entry to the version on exit, whatever the entry will be; maps are composed in
+    the order of the slices, which gives each slice its entry, and slices are replayed side by side. Jobs
+    are constant in number, and a pointer that has most attempts is spread over its slices. An attempt
+    without a pointer or an expected version is stale.
     """
-    attempts = log.filter(F.col("action") == PUBLISH).withColumn(
-        "expected", F.col("expected_pointer_version").cast("bigint")
+    attempts = log.filter(F.col("action") == PUBLISH).select(
+        "pointer_id", "batch_id", "seq", "expected_pointer_version"
+    )
+    sliced = _sliced(attempts, policy)
+    known = sliced.select(
+        F.col("pointer_id").cast("bigint").alias("pointer_id"),
+        "slice",
+        F.col("seq").cast("bigint").alias("seq"),
+        F.col("expected_pointer_version").cast("bigint").alias("expected"),
+    ).filter(F.col("pointer_id").isNotNull() & (F.col("expected") >= 0))
+    keys = ["pointer_id", "slice"]
+    maps = (
+        known.repartition(*keys)
+        .sortWithinPartitions(*keys, F.desc("seq"))
+        .select(*keys, "expected")
+        .mapInArrow(_composed, MAPS_DDL)
+    )
+    # A slice's map has a row for each version that is expected in it, so this pass over a pointer is thin.
+    entries = (
+        maps.repartition("pointer_id").sortWithinPartitions(*keys).mapInArrow(_entered, ENTRIES_DDL)
     )
-    accepted = _chained_acceptances(attempts, policy)
-    marked = attempts.join(
-        accepted.withColumn("hit", F.lit(True)), ["pointer_id", "seq"], "left"
+    accepted = (
+        known.join(entries, keys)
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "seq")
+        .select(*keys, "seq", "expected", "entry")
+        .mapInArrow(_swapped, SWAPS_DDL)
     )
+    # Slices spread a pointer over the join too.
+    marked = sliced.join(accepted, [*keys, "seq"], "left")
+    hit = F.col("version").isNotNull()
     return marked.select(
         "pointer_id",
         "batch_id",
         "seq",
         "expected_pointer_version",
-        F.when(F.col("hit"), PUBLISHED).otherwise("STALE_PUBLISHER").alias("outcome"),
-        F.when(F.col("hit"), F.col("expected") + 1).alias("pointer_version"),
+        F.when(hit, PUBLISHED).otherwise("STALE_PUBLISHER").alias("outcome"),
+        F.col("version").alias("pointer_version"),
     )
 
 

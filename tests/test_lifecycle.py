@@ -162,3 +162,23 @@ def test_evidence(spark):
     assert {row["generation_id"]: row["complete"] for row in checked.collect()} == {
         name: name == "good" for name in cases
     }
+
+
+def test_slices_of_one_pointer_compose(spark):
+    """Chains that go on over slices, that start within one, and versions nobody expects."""
+    from ledgerloom.skew import SkewPolicy
+
+    draw = random.Random(8)
+    log, version = [], 0
+    for n in range(600):
+        expected = version if draw.random() < 0.4 else draw.choice([None, -1, 0, version + 1, version + 2, version - 1])
+        log.append((draw.choice([1, 1, 1, 2, None]), n, n, "publish", None, None, expected))
+        version += expected == version and log[-1][0] == 1
+    current, outcomes = swap([row for row in log if row[0] is not None])
+    frame = spark.createDataFrame(log, COLUMNS)
+    for rows in (17, 100_000):
+        found = lifecycle.pointer_cas(frame, SkewPolicy(slice_rows=rows)).collect()
+        assert {r["seq"]: r["pointer_version"] for r in found if r["pointer_id"] is not None} == outcomes
+        assert all(r["outcome"] == "STALE_PUBLISHER" for r in found if r["pointer_id"] is None)
+        assert len(found) == 600
+    assert current[1] > 50
