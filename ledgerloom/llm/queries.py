@@ -165,19 +165,17 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "records")
     records.write_records(given(spark, sf_dir, "documents"), path)
-    index = records.read_index(spark, path)
-    starts = index.join(records.token_starts(index), "part")
+    # One row per file of some 32 MB; the walk over a file counts the tokens before each record in it.
+    before = records.token_starts(records.read_index(spark, path))
     read = records.read_records(spark, path).select(
         "part",
-        "record",
+        "first_token",
         F.col("key").alias("doc_id"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
-    placed = starts.select(
-        "part", "record", (F.col("tokens_before") + F.col("first_token")).alias("start")
-    )
-    return read.join(placed, ["part", "record"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+    start = (F.col("tokens_before") + F.col("first_token")).alias("start")
+    return read.join(F.broadcast(before), "part").select("doc_id", start, "n_tokens", "ids_crc32")
 
 
 @query

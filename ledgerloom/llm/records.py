@@ -51,7 +51,7 @@ BATCH_CHARS = 4_000_000
 #: More files than Spark's writer lets one task begin; a file's number is its task's times this, and its own.
 FILES_PER_TASK = 1_000_001
 
-RECORD_DDL = "part long, record int, key long, ids binary"
+RECORD_DDL = "part long, record int, first_token long, key long, ids binary"
 INDEX_DDL = "part long, record int, offset long, size long, key long, n_tokens long, first_token long"
 
 
@@ -174,15 +174,29 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return found.select(part, "content")
 
 
+def _heads(data: memoryview) -> Iterator[tuple[int, int, int, int | None, int, int]]:
+    """(record, offset, size, key, number of ids, ids before it) of every frame, payloads left unread."""
+    record = offset = first = 0
+    around = LENGTH.size + 2 * CHECKSUM.size + len(LINE_END)
+    while offset < len(data):
+        start = offset + LENGTH.size + CHECKSUM.size
+        if start + PAYLOAD_HEAD.size > len(data):
+            raise RecordError(f"frame at {offset}: cut short")
+        length_bytes = data[offset : offset + LENGTH.size]
+        if CHECKSUM.unpack(data[offset + LENGTH.size : start])[0] != masked(length_bytes):
+            raise RecordError(f"frame at {offset}: wrong length checksum")
+        size = LENGTH.unpack(length_bytes)[0] + around
+        if offset + size > len(data):
+            raise RecordError(f"frame at {offset}: cut short")
+        key, is_null, _, count = PAYLOAD_HEAD.unpack(data[start : start + PAYLOAD_HEAD.size])
+        yield record, offset, size, None if is_null else key, count, first
+        record, offset, first = record + 1, offset + size, first + count
+
+
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            data, offset, first, rows = memoryview(content.as_buffer()), 0, 0, []
-            while offset < len(data):
-                key, ids, following = read_record(data, offset)
-                rows.append((part, len(rows), offset, following - offset, key, len(ids), first))
-                offset, first = following, first + len(ids)
-            yield _batch(rows, INDEX)
+            yield _batch([(part, *head) for head in _heads(memoryview(content.as_buffer()))], INDEX)
 
 
 INDEX = pa.schema(
@@ -218,33 +232,41 @@ def token_starts(index: DataFrame) -> DataFrame:
 
 
 def read_records(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
-    """part, record, key, ids (little-endian unsigned 32-bit) of the wanted index rows, or of all.
+    """part, record, first_token, key, ids (little-endian unsigned 32-bit) of the wanted index rows, or of all.
 
-    All records are read file by file, where they lie. Any subset of the index may be asked for instead:
+    All records are read file by file, where they lie, and every checksum is verified. Any subset of the index may be asked for instead:
     then each file is opened once and only the wanted frames in it are parsed, at the places the index
     names.
     """
     if wanted is None:
         return _files(spark, path).mapInArrow(_walked, RECORD_DDL)
     # A file holds a bounded amount of text, so its list of places is bounded too.
-    places = wanted.groupBy("part").agg(F.collect_list(F.struct("offset", "record")).alias("places"))
+    places = wanted.groupBy("part").agg(F.collect_list(F.struct("offset", "record", "first_token")).alias("places"))
     return _files(spark, path).join(places, "part").mapInArrow(_picked, RECORD_DDL)
 
 
 RECORDS = pa.schema(
-    [("part", pa.int64()), ("record", pa.int32()), ("key", pa.int64()), ("ids", pa.binary())]
+    [
+        ("part", pa.int64()),
+        ("record", pa.int32()),
+        ("first_token", pa.int64()),
+        ("key", pa.int64()),
+        ("ids", pa.binary()),
+    ]
 )
 #: Bytes of ids after which a batch is handed on.
 BATCH_BYTES = 8_000_000
 
 
-def _parsed(part: int, data: memoryview, places: Iterator[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-    """The frames at (record, offset) places of one file, in batches of a bounded number of ids."""
+def _parsed(
+    part: int, data: memoryview, places: Iterator[tuple[int, int, int]]
+) -> Iterator[pa.RecordBatch]:
+    """The frames at (record, offset, first token) of one file, in batches of a bounded number of ids."""
     rows, held = [], 0
-    for record, offset in places:
+    for record, offset, first in places:
         key, ids, _ = read_record(data, offset)
-        rows.append((part, record, key, ids.astype("<u4").tobytes()))
-        held += len(rows[-1][3])
+        rows.append((part, record, first, key, ids.astype("<u4").tobytes()))
+        held += len(rows[-1][-1])
         if held >= BATCH_BYTES:
             yield _batch(rows, RECORDS)
             rows, held = [], 0
@@ -252,25 +274,17 @@ def _parsed(part: int, data: memoryview, places: Iterator[tuple[int, int]]) -> I
         yield _batch(rows, RECORDS)
 
 
-def _places(data: memoryview) -> Iterator[tuple[int, int]]:
-    record, offset = 0, 0
-    while offset < len(data):
-        yield record, offset
-        (length,) = LENGTH.unpack(data[offset : offset + LENGTH.size])
-        record, offset = record + 1, offset + length + LENGTH.size + 2 * CHECKSUM.size + len(LINE_END)
-
-
 def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             data = memoryview(content.as_buffer())
-            yield from _parsed(part, data, _places(data))
+            yield from _parsed(part, data, ((record, at, first) for record, at, *_, first in _heads(data)))
 
 
 def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parts, contents, places = (batch.column(n) for n in ("part", "content", "places"))
         for part, content, wanted in zip(parts.to_pylist(), contents, places, strict=True):
-            found = sorted((p["offset"], p["record"]) for p in wanted.as_py())
-            places_of = ((record, offset) for offset, record in found)
+            found = sorted((p["offset"], p["record"], p["first_token"]) for p in wanted.as_py())
+            places_of = ((record, offset, first) for offset, record, first in found)
             yield from _parsed(part, memoryview(content.as_buffer()), places_of)
