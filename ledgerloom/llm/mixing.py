@@ -5,14 +5,16 @@ takes some whole epochs of a source and the first words of one more. Its quota o
 epochs together) is split among the output shards by a tree: each node draws, from a multivariate
 hypergeometric distribution, how many blocks of every source go to its left half, so that all quotas and
 all shard sizes stay exact. The draws of a source are then numbered, each epoch in a permutation of its
-own, and every shard takes a run of its quota's length: no block is drawn twice in an epoch. Within a
-shard a seeded order shuffles the documents.
+own, and every shard takes a run of its quota's length: no block is drawn twice in an epoch. What the mix takes of
+a document is summed over the blocks that shards draw. The tree is built in the tasks, once per worker.
+Within a shard a seeded order shuffles the documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 from math import gcd
 
 import numpy as np
@@ -103,42 +105,89 @@ def _permuted(block: np.ndarray, blocks: np.ndarray, seed: int, epoch: int) -> n
     return place
 
 
+@lru_cache(maxsize=4)
+def _runs(quotas: tuple[int, ...], shards: int, seed: int) -> np.ndarray:
+    """Where every shard's run of a source's draws ends (row: shard, column: source); one tree per worker."""
+    return np.cumsum(split_quotas(np.asarray(quotas, np.int64), shards, seed), axis=0)
+
+
+@dataclass(frozen=True)
+class Drawn:
+    """Documents that shards draw in one epoch: row numbers, the shard of each, and the words it takes."""
+
+    epoch: int
+    rows: np.ndarray
+    shards: np.ndarray
+    words: np.ndarray
+
+
+def draw(
+    sources: Sequence[Source],
+    runs: np.ndarray,
+    source: np.ndarray,
+    start: np.ndarray,
+    size: np.ndarray,
+    *,
+    block_words: int,
+    whole: bool,
+    seed: int = 0,
+) -> Iterator[Drawn]:
+    """What the shards, by their runs of draws, take of documents at `start` in their sources' streams.
+
+    Words are summed over the blocks that a document lies in and that some shard's run reaches; a block
+    outside all runs gives none. The document goes to the shard that draws the block it begins in.
+    """
+    own = {name: np.asarray([getattr(s, name) for s in sources], np.int64)[source] for name in ("words", "blocks")}
+    wanted = np.asarray([round(s.target) for s in sources], np.int64)[source]
+    full = wanted // np.maximum(own["words"], 1)
+    rest = wanted - full * own["words"]
+    last_block = own["blocks"] - 1
+    # An empty document counts with the block it stands at.
+    first = np.minimum(start // block_words, last_block)
+    last = np.minimum(np.maximum(start + size - 1, start) // block_words, last_block)
+    spans = last - first + 1
+    heads = np.cumsum(spans) - spans
+    row = np.repeat(np.arange(len(source)), spans)
+    block = first[row] + np.arange(len(row)) - heads[row]
+    begin = np.maximum(start[row], block * block_words)
+    end = np.minimum((start + size)[row], (block + 1) * block_words)
+    for epoch in range(MOST_EPOCHS):
+        is_full = (epoch < full)[row]
+        # The last epoch holds its first blocks only, the last of them in part: the stream's order is random.
+        place = np.where(is_full, _permuted(block, own["blocks"][row], seed, epoch), block)
+        number = epoch * own["blocks"][row] + place
+        shard = np.empty(len(row), np.int64)
+        for one in np.unique(source):
+            mine = source[row] == one
+            shard[mine] = np.searchsorted(runs[:, one], number[mine], "right")
+        in_epoch = is_full | ((epoch == full)[row] & (begin < rest[row]))
+        reached = in_epoch & (shard < len(runs))
+        words = np.where(is_full, end, np.minimum(end, rest[row])) - begin
+        taken = np.zeros(len(source), np.int64)
+        np.add.at(taken, row, np.where(reached, np.maximum(words, 0), 0))
+        partly = epoch >= full
+        if whole:
+            taken = np.where(partly & (2 * taken >= np.maximum(size, 1)), size, np.where(partly, 0, taken))
+        rows = np.flatnonzero(reached[heads] & (~partly | (taken > 0))) if len(heads) else heads
+        yield Drawn(epoch, rows, shard[heads][rows], taken[rows])
+
+
 COPIES = "array<struct<epoch: int, shard: int, words: long>>"
 
 
 def _copies(sources: list[Source], shards: int, seed: int, block_words: int, whole: bool) -> Column:
     """The copies of a document that the mix takes: from its source, place in the stream, and words."""
-    quotas = np.asarray([s.quota for s in sources], np.int64)
-    ends = np.cumsum(split_quotas(quotas, shards, seed), axis=0)  # of every shard's run of draws
-    words = np.asarray([s.words for s in sources], np.int64)
-    wanted = np.asarray([round(s.target) for s in sources], np.int64)
-    blocks = np.asarray([s.blocks for s in sources], np.int64)
+    quotas = tuple(s.quota for s in sources)
 
     @F.pandas_udf(COPIES)
     def copies(number: pd.Series, begin: pd.Series, size: pd.Series) -> pd.Series:
-        source, start = number.to_numpy(np.int64), begin.to_numpy(np.int64)
-        length = size.to_numpy(np.int64)
-        # An empty document counts with the block it stands at.
-        block = np.minimum(start // block_words, blocks[source] - 1)
-        found: list[list[dict]] = [[] for _ in range(len(source))]
-        full = wanted[source] // np.maximum(words[source], 1)
-        rest = wanted[source] - full * words[source]
-        for epoch in range(MOST_EPOCHS):
-            taken = np.where(epoch < full, length, 0)
-            partial = np.where(epoch == full, np.clip(rest - start, 0, length), 0)
-            if whole:
-                partial = np.where(2 * partial >= np.maximum(length, 1), length, 0)
-            taken = taken + partial
-            drawn = (epoch < full) | (partial > 0)
-            # The last epoch holds its first blocks only, and draws them in their (random) stream order.
-            place = np.where(
-                epoch < full, _permuted(block, np.maximum(blocks[source], 1), seed, epoch), block
-            )
-            draw = epoch * blocks[source] + place
-            for row in np.flatnonzero(drawn):
-                own = ends[:, source[row]]
-                shard = min(int(np.searchsorted(own, draw[row], "right")), shards - 1)
-                found[row].append({"epoch": epoch, "shard": shard, "words": int(taken[row])})
+        columns = (column.to_numpy(np.int64) for column in (number, begin, size))
+        runs = _runs(quotas, shards, seed)
+        found: list[list[dict]] = [[] for _ in range(len(number))]
+        for drawn in draw(sources, runs, *columns, block_words=block_words, whole=whole, seed=seed):
+            each = (column.tolist() for column in (drawn.rows, drawn.shards, drawn.words))
+            for row, shard, words in zip(*each, strict=True):
+                found[row].append({"epoch": drawn.epoch, "shard": shard, "words": words})
         return pd.Series(found)
 
     return copies

@@ -158,7 +158,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     planned = mixing.plan(written(sized, "sized"))
     taken = F.aggregate("copies", F.lit(0).cast("long"), lambda total, copy: total + copy["words"])
-    return planned.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    shards = F.array_join(F.transform("copies", lambda copy: copy["shard"].cast("string")), ",")
+    return planned.select(
+        "doc_id", "size", "source_size", "target", taken.alias("taken"), shards.alias("shards")
+    )
 
 
 @query

@@ -38,6 +38,50 @@ def test_permutations_are_permutations():
     assert sorted(place) == list(range(97)) and (place != blocks).any()
 
 
+def one_source(documents=300, size=50, share=1.7, block_words=64):
+    words = documents * size
+    blocks = -(-words // block_words)
+    full, rest = divmod(round(words * share), words)
+    quota = full * blocks + -(-rest // block_words)
+    source = mixing.Source("a", words, 1.0, float(round(words * share)), blocks, quota)
+    columns = np.zeros(documents, np.int64), np.arange(documents) * size, np.full(documents, size)
+    return source, columns
+
+
+def taken_of(source, runs, columns, block_words=64):
+    taken, shards = np.zeros(len(columns[0]), np.int64), []
+    for drawn in mixing.draw([source], runs, *columns, block_words=block_words, whole=False):
+        taken[drawn.rows] += drawn.words
+        shards += [(drawn.epoch, *pair) for pair in zip(drawn.rows.tolist(), drawn.shards.tolist(), strict=True)]
+    return taken, shards
+
+
+def test_words_come_from_the_blocks_that_the_tree_gives_to_shards():
+    source, columns = one_source()
+    split = mixing.split_quotas(np.asarray([source.quota]), 8, seed=0)
+    taken, shards = taken_of(source, np.cumsum(split, axis=0), columns)
+    assert taken.sum() == source.target
+    # A tree that gives all blocks to one shard moves the documents, not their words.
+    stub = np.zeros_like(split)
+    stub[0] = split.sum(axis=0)
+    same, moved = taken_of(source, np.cumsum(stub, axis=0), columns)
+    assert (same == taken).all() and moved != shards and {shard for *_, shard in moved} == {0}
+    # A tree that loses the last shard's blocks loses their words.
+    lost = np.cumsum(split[:-1], axis=0)
+    fewer, _ = taken_of(source, lost, columns)
+    missing = taken.sum() - fewer.sum()
+    assert 64 * (split[-1, 0] - 1) < missing <= 64 * split[-1, 0]
+    nothing, none = taken_of(source, np.zeros_like(split), columns)
+    assert not nothing.any() and not none
+
+
+def test_a_document_of_many_blocks_takes_the_words_of_all_of_them():
+    source, columns = one_source(documents=3, size=1000, share=2.5, block_words=64)
+    runs = np.cumsum(mixing.split_quotas(np.asarray([source.quota]), 4, seed=1), axis=0)
+    taken, _ = taken_of(source, runs, columns)
+    assert taken.tolist() == [3000, 2500, 2000]
+
+
 def sized(frame):
     return frame.withColumn("size", word_count(F.col("text")))
 
