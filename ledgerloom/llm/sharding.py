@@ -3,7 +3,8 @@
 Rows are range-partitioned by (hash of the group columns, serial number), so that equal groups lie
 together. Size-weighted samples of the keys give quantiles as range boundaries; the exact size of every
 range is then counted, and ranges that came out overfull are sampled again and subdivided, by serial
-number too where a single group fills them, until none is. Consecutive ranges are dealt to the shards by
+number too where a single group fills them, until none is: overfull is a range of too much size or of
+too many rows. Consecutive ranges are dealt to the shards by
 their exact cumulative size.
 """
 
@@ -22,7 +23,7 @@ from ledgerloom.session import literal_frame
 
 #: Ranges per shard: a shard's size is off by about one range at most.
 RANGES_PER_SHARD = 256
-#: Rows of a range at most, however few shards there are: a range is ranked in one task.
+#: Rows of a range at most, whatever their sizes: a range is ranked in one task.
 ROWS_PER_RANGE = 2_000_000
 #: Expected samples per range to be.
 SAMPLES_PER_RANGE = 24
@@ -52,7 +53,7 @@ def _range_column(splitters: Splitters) -> Column:
 
 
 def _cut(known: set, samples: list, pieces: int, whole_groups: bool) -> None:
-    """Add boundaries that cut sorted, equally weighty samples into `pieces` runs.
+    """Add boundaries that cut sorted samples of equal load into `pieces` runs.
 
     A boundary before any serial number keeps a group whole; a group is cut inside only where such a
     boundary is known already.
@@ -70,12 +71,14 @@ def shard(
     shards: int,
     *,
     ranges_per_shard: int = RANGES_PER_SHARD,
+    rows_per_range: int = ROWS_PER_RANGE,
     seed: int = 0,
 ) -> DataFrame:
     """Add `shard` (0 to shards - 1), `shard_range` and `slot` (gapless from 0 in its shard).
 
     Law: the shards' sums of `size` are nearly equal, however large one group is. Rows of equal `group`
-    values stay together but where a boundary between shards falls inside the group. A size that is null
+    values stay together but where a boundary between shards falls inside the group. No range has more than
+    `rows_per_range` rows, nor over twice its share of the size unless one row makes up the excess. A size that is null
     or below 1 counts as 1; null group values are equal to each other; repeated rows are placed each for
     itself; an empty table gives no rows; columns of the added names are replaced.
     """
@@ -88,13 +91,13 @@ def shard(
     rows = written(keyed, "shards")  # pins the serial numbers
     light = rows.select("hash", "serial", "size")
     total, count = light.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("size")).first()
-    aim = max(1, shards * ranges_per_shard, count // ROWS_PER_RANGE)
+    aim = max(1, shards * ranges_per_shard, -(-count // rows_per_range))
     full = max(1.0, total / aim)
     splitters: Splitters = []
-    attempt, overfull = 0, {0: total}
+    attempt, overfull = 0, {0: aim}  # range: pieces to cut it into
     while overfull and count > 1:
-        # Chance in proportion to size: every sample stands for the same share of a range.
-        chance = F.col("size") * F.lit(SAMPLES_PER_RANGE / full)
+        # Chance in proportion to load, the share that a row has of a range's size and of its rows.
+        chance = (F.col("size") / F.lit(full) + F.lit(1 / rows_per_range)) * SAMPLES_PER_RANGE
         luck = F.pmod(F.xxhash64(F.lit(seed), F.lit(attempt), "serial"), F.lit(1 << 30)) / F.lit(1 << 30)
         within = light.withColumn("range", _range_column(splitters)).filter(luck < chance)
         if attempt:
@@ -105,14 +108,18 @@ def shard(
         for row in within.select("range", "hash", "serial").collect():
             samples.setdefault(row["range"], []).append(row)
         fresh = set(splitters)
-        for number, held in overfull.items():
-            _cut(fresh, samples.get(number, []), max(2, round(held / full)), attempt == 0)
+        for number, pieces in overfull.items():
+            _cut(fresh, samples.get(number, []), pieces, attempt == 0)
         splitters, attempt = sorted(fresh), attempt + 1
         sizes = light.withColumn("range", _range_column(splitters)).groupBy("range")
         counted = sizes.agg(F.sum("size"), F.count("size"), F.max("size")).collect()
         ranges = sorted(map(tuple, counted))
         # A range that is full of one large row cannot be cut to advantage.
-        overfull = {r: held for r, held, _, most in ranges if held > 2 * full and held - most > full}
+        overfull = {
+            r: max(2, round(held / full + n / rows_per_range))
+            for r, held, n, most in ranges
+            if (held > 2 * full and held - most > full) or n > rows_per_range
+        }
     if count <= 1:
         ranges = [(0, total, count, total)]
     dealt, before, slots = [], 0, dict.fromkeys(range(shards), 0)

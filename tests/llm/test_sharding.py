@@ -36,6 +36,20 @@ def test_sizes_are_nearly_equal_with_one_group_of_a_third(spark):
     assert all(r.text == "same" or r.n == 2 for r in split) and len(split) <= 8
 
 
+def test_many_null_texts_do_not_fill_a_range(spark):
+    # Three quarters of the rows have next to no size, so bounds on size alone leave them in few ranges.
+    rows = spark.range(40_000).select(
+        "id",
+        F.when(F.col("id") % 4 == 0, F.repeat(F.col("id").cast("string"), 60)).alias("text"),
+    )
+    sized = rows.withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)) + 1)
+    placed = sharding.shard(sized, ["text"], "size", 4, ranges_per_shard=8, rows_per_range=500)
+    found = placed.collect()
+    assert sorted(r.id for r in found) == list(range(40_000))
+    assert max(Counter(r.shard_range for r in found).values()) <= 500
+    check(found, 4, 0.05)
+
+
 def test_identical_rows_only(spark):
     rows = spark.range(4000).select(F.lit(1).alias("id"), F.lit(None).cast("string").alias("t"), F.lit(5).alias("size"))
     check(sharding.shard(rows, ["t"], "size", 4).collect(), 4, 0.02)
