@@ -1,22 +1,23 @@
 """Batch lifecycle read from an append-only action log.
 
 The log has batch_id, pointer_id, seq (unique, the order of events), action, manifest_digest,
-manifest_version_id and expected_pointer_version. Replays of the log are folds by nature; here they
-are counted with running sums, which split over tasks where one batch holds much of the log.
+manifest_version_id and expected_pointer_version. Replays of the log are folds by nature; here a batch is a
+finite automaton, replayed with running maxima, and a slice of a batch that holds much of the log is a map
+from states to states, so that slices are replayed side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from math import ceil
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import TABLES
-from ledgerloom.session import fresh_dir
-from ledgerloom.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, lookup_join, running_sums
+from ledgerloom.session import fresh_dir, shared_dir
+from ledgerloom.skew import DEFAULT_POLICY, SLICES, SkewPolicy, hot_keys, lookup_join, split_hot
 
 # States and actions.
 UNREGISTERED = "UNREGISTERED"
@@ -25,6 +26,7 @@ BUILDING = "BUILDING"
 VALIDATED = "VALIDATED"
 PUBLISHED = "PUBLISHED"
 FAILED = "FAILED"
+STATES = (UNREGISTERED, REGISTERED, BUILDING, VALIDATED, PUBLISHED, FAILED)
 REGISTER, START_BUILD, VALIDATE, PUBLISH, FAIL = (
     "register",
     "start_build",
@@ -76,62 +78,54 @@ def identity_conflicts(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> D
     )
 
 
-def action_outcomes(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Every action with the batch state before it, the state after it and whether it was accepted.
+def _replayed(rows: DataFrame, columns: Sequence[str], keys: Sequence[str], entry: Column) -> DataFrame:
+    """Every action of each key, a batch or a slice of one, replayed in order from the state on entry.
 
-    A failure sends every unpublished state to FAILED, so a batch's history falls into attempts that
-    end with a failure. Within one attempt the state only moves forward: BUILDING from the first
-    start, VALIDATED from the first validation after that, PUBLISHED from the first publication
-    after that. Each step is "has this been seen yet", a running count.
+    A failure sends every unpublished state to FAILED, so a history falls into attempts that end with one:
+    BUILDING from the first start of an attempt, VALIDATED from the first validation after it, PUBLISHED for
+    good from the first publication after that. Each of these is a running maximum over the actions before
+    this one, and all of them share one exchange and one sort.
     """
-    keys = ["batch_id"]
-    hot = hot_keys(log, keys, policy)
+    earlier = (
+        Window.partitionBy(*keys).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
+    )
 
-    def flag(condition: Column) -> Column:
-        return F.coalesce(condition, F.lit(False)).cast("bigint")
+    def last(condition: Column) -> Column:
+        return F.max(F.when(condition, F.col("seq"))).over(earlier)
 
     def is_action(name: str) -> Column:
         return F.col("action") == name
 
-    columns = log.columns
-    known = running_sums(log, keys, ["seq"], {"n_register": flag(is_action(REGISTER))}, hot)
-    registered = F.col("n_register") > 0
-    failures = running_sums(
-        known, keys, ["seq"], {"n_fail": flag(registered & is_action(FAIL))}, hot
-    ).withColumn("attempt", F.col("n_fail") - flag(registered & is_action(FAIL)))
-
-    # A hot batch may be one long attempt, so its attempts count as hot too.
-    attempt_keys = [*keys, "attempt"]
-    hot_attempts = None if hot is None else hot_keys(failures, attempt_keys, policy)
-    starts = running_sums(
-        failures.withColumn("q_start", flag(registered & is_action(START_BUILD))),
-        attempt_keys,
-        ["seq"],
-        {"n_start": F.col("q_start")},
-        hot_attempts,
-    )
-    validations = running_sums(
-        starts.withColumn("q_validate", flag((F.col("n_start") > 0) & is_action(VALIDATE))),
-        attempt_keys,
-        ["seq"],
-        {"n_validate": F.col("q_validate")},
-        hot_attempts,
+    def since_failure(seen: str, *on_entry: str) -> Column:
+        """Whether the step was made in the attempt that is open here."""
+        in_first = F.col(seen).isNotNull() | F.col("_entry").isin(*on_entry)
+        return F.when(F.col("_fail").isNull(), in_first).otherwise(
+            F.coalesce(F.col(seen) > F.col("_fail"), F.lit(False))
+        )
+
+    entered = rows.withColumn("_entry", entry)
+    known = entered.withColumn(
+        "_registered",
+        (F.col("_entry") != UNREGISTERED)
+        | F.coalesce(F.max(is_action(REGISTER)).over(earlier), F.lit(False)),
     )
-    counted = running_sums(
-        validations.withColumn("q_publish", flag((F.col("n_validate") > 0) & is_action(PUBLISH))),
-        keys,
-        ["seq"],
-        {"n_publish": F.col("q_publish")},
-        hot,
+    begun = known.withColumns(
+        {
+            "_fail": last(F.col("_registered") & is_action(FAIL)),
+            "_start": last(F.col("_registered") & is_action(START_BUILD)),
+        }
+    ).withColumn("_building", F.col("_registered") & since_failure("_start", BUILDING, VALIDATED))
+    checked = begun.withColumn("_validate", last(F.col("_building") & is_action(VALIDATE))).withColumn(
+        "_validated", since_failure("_validate", VALIDATED)
     )
-
+    done = checked.withColumn("_publish", last(F.col("_validated") & is_action(PUBLISH)))
     before = (
-        F.when(F.col("n_register") - flag(is_action(REGISTER)) == 0, UNREGISTERED)
-        .when(F.col("n_publish") - F.col("q_publish") > 0, PUBLISHED)
-        .when(F.col("n_validate") - F.col("q_validate") > 0, VALIDATED)
-        .when(F.col("n_start") - F.col("q_start") > 0, BUILDING)
-        .when(F.col("attempt") == 0, REGISTERED)
-        .otherwise(FAILED)
+        F.when(~F.col("_registered"), UNREGISTERED)
+        .when(F.col("_publish").isNotNull() | (F.col("_entry") == PUBLISHED), PUBLISHED)
+        .when(F.col("_validated"), VALIDATED)
+        .when(F.col("_building"), BUILDING)
+        .when(F.col("_fail").isNotNull() | (F.col("_entry") == FAILED), FAILED)
+        .otherwise(REGISTERED)
     )
     state = F.col("state_before")
     target = (
@@ -141,7 +135,7 @@ def action_outcomes(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> Data
         .when(is_action(PUBLISH) & (state == VALIDATED), PUBLISHED)
         .when(is_action(FAIL) & state.isin(REGISTERED, BUILDING, VALIDATED), FAILED)
     )
-    return counted.select(*columns, before.alias("state_before")).select(
+    return done.withColumn("state_before", before).select(
         *columns,
         "state_before",
         F.coalesce(target, state).alias("state_after"),
@@ -149,10 +143,77 @@ def action_outcomes(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> Data
     )
 
 
+def _slice_entries(sliced: DataFrame) -> DataFrame:
+    """(batch_id, slice, entry): the state in which each slice of a batch is entered.
+
+    A slice is a map from every state on entry to the state on exit. The maps of a batch, one per slice, are
+    applied one after another, from the unregistered state on.
+    """
+    starts = F.explode(F.array(*[F.lit(state) for state in STATES])).alias("entry")
+    tried = sliced.select("batch_id", "_slice", "seq", "action", starts)
+    keys = ["batch_id", "_slice", "entry"]
+    exits = (
+        _replayed(tried, [*keys, "seq"], keys, F.col("entry"))
+        .groupBy(*keys)
+        .agg(F.max_by("state_after", "seq").alias("exit"))
+    )
+    moves = F.collect_list(F.struct("entry", "exit")).alias("moves")
+    maps = exits.groupBy("batch_id", "_slice").agg(moves)
+    # One map per slice that the batch touches.
+    ordered = F.array_sort(F.collect_list(F.struct("_slice", "moves")))
+    nothing = F.array().cast("array<struct<slice: int, entry: string>>")
+    state = F.struct(F.lit(UNREGISTERED).alias("now"), nothing.alias("entries"))
+
+    def apply(held: Column, slice_map: Column) -> Column:
+        entered = F.struct(slice_map["_slice"].alias("slice"), held["now"].alias("entry"))
+        return F.struct(
+            F.element_at(F.map_from_entries(slice_map["moves"]), held["now"]).alias("now"),
+            F.array_append(held["entries"], entered).alias("entries"),
+        )
+
+    entries = maps.groupBy("batch_id").agg(F.aggregate(ordered, state, apply)["entries"].alias("entries"))
+    return entries.select("batch_id", F.explode("entries").alias("e")).select(
+        F.col("batch_id").alias("_of_batch"), F.col("e.slice").alias("_of_slice"), F.col("e.entry").alias("_known")
+    )
+
+
+def action_outcomes(
+    log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Every action with the batch state before it, the state after it and whether it was accepted.
+
+    Of the log's columns only `columns` are kept, all by default. Batches are replayed side by side, in one
+    exchange and one sort. The rows of a hot batch are cut into slices of its order once; slices are replayed
+    from every state they might be entered in, these maps are composed, and each slice is then replayed from
+    the state it is entered in.
+    """
+    columns = list(log.columns if columns is None else columns)
+    rows = log.select(*dict.fromkeys([*columns, "batch_id", "seq", "action"]))
+    hot = hot_keys(log, ["batch_id"], policy)
+    if hot is None:
+        return _replayed(rows, columns, ["batch_id"], F.lit(UNREGISTERED))
+    hot_rows, other_rows = split_hot(rows, hot, ["batch_id"])
+    others = _replayed(other_rows, columns, ["batch_id"], F.lit(UNREGISTERED))
+    spark = log.sparkSession
+    shared_dir(spark)
+    wanted = hot.agg(F.sum(SLICES)).first()[0]
+    slices = max(2, ceil(wanted), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sliced = (
+        hot_rows.repartitionByRange(slices, "batch_id", "seq")
+        .withColumn("_slice", F.spark_partition_id())
+        .checkpoint()
+    )
+    # One row per hot batch and slice it touches: at most hot batches + slices rows.
+    of_slice = F.col("batch_id").eqNullSafe(F.col("_of_batch")) & (F.col("_slice") == F.col("_of_slice"))
+    entered = sliced.join(F.broadcast(_slice_entries(sliced)), of_slice)
+    known = _replayed(entered, columns, ["batch_id", "_slice"], F.col("_known"))
+    return others.unionByName(known)
+
+
 def lifecycle_state(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Final state of each batch, with its last accepted action."""
     return (
-        action_outcomes(log, policy)
+        action_outcomes(log, policy, ["batch_id", "seq"])
         .groupBy("batch_id")
         .agg(
             F.max_by("state_after", "seq").alias("state"),
@@ -169,7 +230,7 @@ def illegal_transitions(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) ->
         .otherwise("ILLEGAL_TRANSITION")
     )
     return (
-        action_outcomes(log, policy)
+        action_outcomes(log, policy, ["batch_id", "seq", "action"])
         .filter(~F.col("accepted") & (F.col("action") != REGISTER))
         .select("batch_id", "seq", "action", "state_before", reason.alias("reason"))
     )
@@ -179,7 +240,7 @@ def build_attempts(log: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataF
     """Accepted build starts per batch."""
     started = F.col("accepted") & (F.col("action") == START_BUILD)
     return (
-        action_outcomes(log, policy)
+        action_outcomes(log, policy, ["batch_id", "action"])
         .groupBy("batch_id")
         .agg(F.sum(started.cast("bigint")).alias("attempts"))
     )

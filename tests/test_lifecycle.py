@@ -182,3 +182,38 @@ def test_slices_of_one_pointer_compose(spark):
         assert all(r["outcome"] == "STALE_PUBLISHER" for r in found if r["pointer_id"] is None)
         assert len(found) == 600
     assert current[1] > 50
+
+
+def test_a_replay_needs_one_exchange_and_one_sort(spark, tmp_path):
+    spark.createDataFrame(random_log(1), COLUMNS).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = lifecycle.lifecycle_state(log)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1, plan
+
+
+def test_one_batch_of_most_actions_is_cut_once(spark):
+    # Long stretches without an accepted action, so that states have to pass through whole slices.
+    draw, log = random.Random(5), []
+    for seq in range(4000):
+        stretch = seq // 700
+        action = draw.choice(["register", "validate"]) if stretch % 2 else draw.choice(["start_build", "fail"])
+        if seq == 3900:
+            action = "start_build"
+        if seq in (3910, 3920):
+            action = "validate" if seq == 3910 else "publish"
+        if 3900 < seq and seq not in (3910, 3920):
+            action = "register"
+        if seq < 900:
+            action = "fail" if seq % 2 else "publish"
+        log.append((1, 7 if seq % 5 else seq % 11, seq, action, "d1", "v1", 0))
+    states, steps = replay(log)
+    policy = SkewPolicy(hot_rows=100, sample_fraction=1.0, slice_rows=150)
+    frame = spark.createDataFrame(log, COLUMNS)
+    found = lifecycle.action_outcomes(frame, policy).collect()
+    got = sorted((r.batch_id, r.seq, r.action, r.state_before, r.state_after, r.accepted) for r in found)
+    assert got == sorted(steps)
+    assert {r.batch_id: r.state for r in lifecycle.lifecycle_state(frame, policy).collect()} == states
