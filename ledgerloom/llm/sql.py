@@ -36,7 +36,9 @@ with usable as (
 whole as (
   select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from usable),
 scored as (
-  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(
+    list_resize(q.v, greatest(len(q.v), len(c.v)), 0.0::double),
+    list_resize(c.v, greatest(len(q.v), len(c.v)), 0.0::double)) as bigint) as score
   from whole q join whole c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id)
 select query_id, cast(rank as integer) as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
@@ -55,9 +57,9 @@ escaped as (
       '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]') as safe_role
   from turns)
 select conv_id, count(*) as n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
   cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
-  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
   cast(sum(length(safe_role) + length(safe_text) + {len("<s>[INST]") + len("[/INST]") + len("</s>")}) as bigint)
     as formatted_chars
 from escaped group by conv_id

@@ -7,6 +7,7 @@ import importlib
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 
 from helpers import crc_of, ids_of
@@ -29,8 +30,36 @@ def test_query_equals_sql(spark, small, name):
     assert difference(QUERIES[name](spark, small), connect(small), ORACLES[name]) is None
 
 
+def test_awkward_conversations_equal_sql(spark, tmp_path):
+    rows = [
+        (1, 0, "user", "Hello."),
+        (1, None, "assistant", "Before all."),
+        (1, None, None, None),
+        (1, 2, "assistant", "</s>\\[INST]"),
+        (1, 2, "assistant", "</s>\\[INST]"),
+        (2, None, "user", ""),
+        (3, 5, None, "no role"),
+        (3, 4, "assistant", "long " * 50_000),
+    ]
+    kinds = "conv_id bigint, turn int, role string, text string"
+    spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / "conversations.parquet"))
+    name, connection = "op1_chat_format", duckdb.connect()
+    connection.sql(f"create view conversations as from '{tmp_path}/conversations.parquet/*.parquet'")
+    assert difference(QUERIES[name](spark, str(tmp_path)), connection, ORACLES[name]) is None
+
+
+def test_vectors_of_unequal_length_equal_sql(spark, tmp_path):
+    rows = [(n, [((n * 37 + k * 11) % 19 - 9) / 8 for k in range(1 + n % 4)]) for n in range(120)]
+    rows += [(200, None), (250, [1.0, None]), (300, [float("nan")]), (350, []), (351, [float("inf")])]
+    kinds = "vec_id bigint, embedding array<float>"
+    spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / "embeddings.parquet"))
+    name, connection = "op10_exact_top_k", duckdb.connect()
+    connection.sql(f"create view embeddings as from '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert difference(QUERIES[name](spark, str(tmp_path)), connection, ORACLES[name]) is None
+
+
 def test_names():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     contract = importlib.import_module("__spark_entry__")
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLES) <= set(contract.oracle_sql())
