@@ -658,8 +658,8 @@ def build_publish_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = build.build_generation(spark, bound, store, lake)
     replayed = build.build_generation(spark, bound, store, lake)
     version = build.publish(spark, lake, built.generation_id, expected_pointer_version=0)
-    generation, _ = generations.active_pointer(spark, lake)
-    served = generations.pinned_read(spark, lake, generation)
+    # In a session of its own, whose views no other query sees.
+    _, served = build.serve(spark.newSession(), lake)
     proofs_of_served = fingerprint.table_fingerprints(
         {name: frame.drop("generation_id") for name, frame in served.items()}
     )
@@ -687,3 +687,35 @@ def expected_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inject_fault(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = synthetic.inject_fault(faulted_batch(spark, sf_dir), "broken_total")
     return batch["orders"].select("order_id", "total_cents")
+
+
+#: The gate that each fault of a batch must set off.
+FAULT_GATES = {
+    "broken_total": gates.gate_order_total,
+    "excess_refund": gates.gate_excess_refund,
+    "missing_product": gates.gate_missing_dimension,
+    "overlapping_version": gates.gate_ambiguous_dimension,
+    "negative_stock": gates.gate_negative_inventory,
+}
+
+
+def _mended(batch: Batch) -> Batch:
+    """Without the derived batch's own overlapping versions and uncovered refunds, which hide an injected one."""
+    captured = batch["payments"].filter(F.col("status") == "CAPTURED").select("order_id").distinct()
+    returns, products = batch["returns"], batch["products"]
+    covered = returns.filter(F.col("refund_cents") < 100_000_000_000).join(captured, "order_id", "left_semi")
+    return batch.replace(
+        returns=covered.select(*returns.columns),
+        products=products.filter(~F.col("category").isin("overlap", "dup")),
+    )
+
+
+@query
+def fault_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every violation that a fault's gate finds in the whole batch with that fault, the fault's own among them."""
+    batch = _mended(faulted_batch(spark, sf_dir))
+    found = [
+        gate(synthetic.inject_fault(batch, fault)).select(F.lit(fault).alias("fault"), "code", "entity_id", "message")
+        for fault, gate in FAULT_GATES.items()
+    ]
+    return reduce(DataFrame.unionByName, found)

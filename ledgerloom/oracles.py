@@ -698,21 +698,21 @@ BODIES["split_gate_orphan_payment"] = (
 )
 
 
-def _with_views(body: str) -> str:
+def _with_views(body: str, views_by_name: dict[str, str] = VIEWS) -> str:
     """The body preceded by the views it names, directly or through other views."""
     needed: set[str] = set()
     pending = [body]
     while pending:
         words = set(re.findall(r"\b[a-z]_[a-z_]+\b", pending.pop()))
-        for name in words & VIEWS.keys() - needed:
+        for name in words & views_by_name.keys() - needed:
             needed.add(name)
-            pending.append(VIEWS[name])
+            pending.append(views_by_name[name])
     # A view may only name views above it, so emit them by dependency.
     placed: list[str] = []
 
     def place(name: str) -> None:
         if name not in placed:
-            for other in set(re.findall(r"\b[a-z]_[a-z_]+\b", VIEWS[name])) & VIEWS.keys() - {name}:
+            for other in set(re.findall(r"\b[a-z]_[a-z_]+\b", views_by_name[name])) & views_by_name.keys() - {name}:
                 place(other)
             placed.append(name)
 
@@ -720,10 +720,66 @@ def _with_views(body: str) -> str:
         place(name)
     if not placed:
         return body
-    views = ",\n".join(f"{name} as ({VIEWS[name].strip()}\n)" for name in placed)
+    views = ",\n".join(f"{name} as ({views_by_name[name].strip()}\n)" for name in placed)
     if body.startswith("with "):
         return f"with {views},\n{body[5:]}"
     return f"with {views}\n{body}"
 
 
 ORACLES: dict[str, str] = {name: _with_views(body) for name, body in BODIES.items()}
+
+# The batch without its own overlapping versions and uncovered refunds, which hide an injected one.
+MENDED_VIEWS = {
+    "s_returns": f"select * from ({VIEWS['f_returns']}) where refund_cents<100000000000"
+    " and order_id in (select order_id from f_payments where status='CAPTURED')",
+    "s_products": f"select * from ({VIEWS['f_products']}) where category not in ('overlap', 'dup')",
+}
+
+# One faulted view each; the row at fault is the one with the least key.
+_ORDER = "(select * from f_orders order by order_id limit 1)"
+_LINE = f"{_ORDER} o join f_lines l on l.order_id=o.order_id order by l.order_id, l.line_id limit 1"
+FAULTED_VIEWS = {
+    "broken_total": (
+        "ORDER_TOTAL",
+        "f_orders",
+        "select * replace (total_cents + case when order_id=(select min(order_id) from f_orders)"
+        " then 1 else 0 end as total_cents) from f_orders",
+    ),
+    "excess_refund": (
+        "EXCESS_REFUND",
+        "f_returns",
+        "select * from f_returns union all (select cast(-1 as bigint), l.order_id, l.line_id,"
+        f" cast(1 as bigint), o.total_cents+1 from {_LINE})",
+    ),
+    "missing_product": (
+        "MISSING_DIMENSION",
+        "f_products",
+        "select * from f_products where product_id <>"
+        " (select product_id from f_lines order by order_id, line_id limit 1)",
+    ),
+    "overlapping_version": (
+        "AMBIGUOUS_DIMENSION",
+        "f_products",
+        "select * from f_products union all (select product_id, 'overlapping-version', effective_from+1,"
+        " effective_to, loaded_at+1 from f_products order by product_id, effective_from, loaded_at limit 1)",
+    ),
+    "negative_stock": (
+        "NEGATIVE_INVENTORY",
+        "f_movements",
+        "select * from f_movements union all (select cast(0 as bigint), l.product_id, o.store_id,"
+        f" cast(-1000000 as bigint), 'CORRUPTION', o.order_ts+1 from {_LINE})",
+    ),
+}
+
+
+def _under_fault(fault: str) -> str:
+    code, view, changed = FAULTED_VIEWS[fault]
+    sound = f"s{view[1:]}"
+    others = {name: MENDED_VIEWS[f"s{name[1:]}"] for name in ("f_returns", "f_products")}
+    held = {**VIEWS, **others}
+    views = {**held, sound: held[view], view: re.sub(rf"\b{view}\b", sound, changed)}
+    body = _with_views(BODIES[f"gate_{code.lower()}"], views)
+    return f"select '{fault}' as fault, code, entity_id, message from ({body})"
+
+
+ORACLES["fault_codes"] = "\nunion all\n".join(map(_under_fault, FAULTED_VIEWS))
