@@ -92,7 +92,7 @@ def verify_objects(spark: SparkSession, document: dict, store: str) -> None:
                 (F.col("d.size_bytes") == F.col("s.size_bytes")) & (F.col("d.sha256") == F.col("s.sha256"))
             )
         )
-        names = sorted({row["table_name"] for row in wrong.select("d.table_name").collect()})
+        names = sorted({row["table_name"] for row in wrong.select("d.table_name").distinct().collect()})
     except AnalysisException as error:
         raise ManifestError("OBJECT_PROOF: a declared object does not exist") from error
     if names:
