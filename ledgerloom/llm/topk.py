@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import partitions
 
-#: Vectors of a tile at most: what a task holds, whatever the input.
+#: Vectors of a tile on average. Tiles are cut by a hash of id and vector, so equal rows share one.
 QUERY_TILE = 2048
 CANDIDATE_TILE = 16_384
 #: Candidate tiles whose lists meet in a round of the merge tree.
