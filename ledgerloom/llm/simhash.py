@@ -8,10 +8,13 @@ where far fewer points lie near a boundary.
 A vantage-point tree is built from a bounded sample of points: each node takes a vantage point and the
 median of the distances to it, and splits what is inside from what is outside. Every point belongs to one
 leaf, its shard. It also visits all other leaves that the triangle bound cannot rule out: those where its
-distance to the vantage point is within the radius of the boundary. In each shard the tree is carried on
-over the shard's own points until few are left; those are compared exactly, on all 64 bits. A shard hands
-on a spanning forest of the links it found, never all pairs. Components of the links are then found by
-rounds of star contraction, with each round's edges written to the shared folder.
+distance to the vantage point is within the radius of the boundary. A shard with too many rows is split by
+a smaller tree over a sample of its own rows, again and again; its vantage points may look at the other half,
+where linked points differ in `max_bits` at most, so points that share a half are told apart as well. Rows too
+close to each other for any cut are compared in pairs of blocks. In each shard the tree is carried on over
+the shard's own points until few are left; those are compared exactly, on all 64 bits. A shard hands on a
+spanning forest of the links it found, never all pairs. Components of the links are then found by rounds of
+star contraction, with each round's edges written to the shared folder.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +46,14 @@ SAMPLE_POINTS = 60_000
 SHARD_POINTS = 2_000
 #: A node with fewer sampled points is a leaf.
 LEAF_SAMPLE = 40
+#: Rows of a shard from which on it is split; it bounds what a task compares, to about twice as many.
+SHARD_ROWS = 100_000
+#: Levels of a crowded shard's own tree, rows it is built from (of those owned, and of all), and rounds of
+#: splitting that shard numbers of 64 bits have room for.
+SUBTREE_LEVELS, SUBTREE_SAMPLE, MOST_ROUNDS = 4, 1_000, 10
+SUBTREE_NODES = (1 << SUBTREE_LEVELS) - 1
+#: Squared shares of a cut's two sides from which on blocks copy fewer rows, and the bound of no cut at all.
+WORTHWHILE, EVERYTHING = 0.9, 127
 #: Owned points below which a shard's tree goes no deeper, and the block that is compared at once.
 COMPARED = 512
 BLOCK_ROWS, BLOCK_POINTS = 64, 32_768
@@ -171,86 +184,290 @@ class Links:
     """Links of numbered points, of which only a spanning forest is kept."""
 
     def __init__(self, count: int):
-        self._parent = list(range(count))
-        self.kept: list[tuple[int, int]] = []
+        self._parent = np.arange(count)
+        self.kept: list[np.ndarray] = []
+
+    def roots(self, numbers: np.ndarray) -> np.ndarray:
+        found = self._parent[numbers]
+        while (further := self._parent[found] != found).any():
+            found[further] = self._parent[found[further]]
+        self._parent[numbers] = found
+        return found
+
+    def star(self, point: int, others: np.ndarray) -> None:
+        """Link a point with others: one link is kept for each tree that it joins to its own."""
+        found, first = np.unique(self.roots(others), return_index=True)
+        own = self.roots(np.asarray([point]))[0]
+        apart = found != own
+        if apart.any():
+            ends = others[first[apart]]
+            self.kept.append(np.column_stack([np.full(len(ends), point), ends]))
+            self._parent[found[apart]] = own
+
+    def edges(self) -> np.ndarray:
+        return np.concatenate(self.kept) if self.kept else np.empty((0, 2), np.int64)
 
-    def _root(self, point: int) -> int:
-        parent = self._parent
-        while parent[point] != point:
-            parent[point] = parent[parent[point]]
-            point = parent[point]
-        return point
 
-    def add(self, left: np.ndarray, right: np.ndarray) -> None:
-        for a, b in zip(left.tolist(), right.tolist(), strict=True):
-            root, other = self._root(a), self._root(b)
-            if root != other:
-                self._parent[max(root, other)] = min(root, other)
-                self.kept.append((a, b))
+@dataclass(frozen=True)
+class Cut:
+    """One vantage point and its boundary, in one of the two halves, and what it does to the rows at hand."""
+
+    side: int
+    vantage: int
+    bound: int
+    within: np.ndarray
+    reach: np.ndarray
+    beyond: np.ndarray
+
+
+def cuts(
+    sides: Sides, radii: tuple[int, int], own: np.ndarray, visiting: np.ndarray, generator, tries: int
+) -> Iterator[Cut]:
+    """Cuts at the median distance of the owned rows: first in the tree's own half, then in the other."""
+    for side, (values, radius) in enumerate(zip(sides, radii, strict=True)):
+        for _ in range(tries):
+            vantage = values[own[generator.integers(len(own))]]
+            near, far = (np.bitwise_count(values[x] ^ vantage).astype(np.int64) for x in (own, visiting))
+            bound = int(np.median(near))
+            if (near <= bound).all():  # at a tie of most distances, the boundary goes below it
+                bound -= 1
+            within = near <= bound
+            if within.any():
+                yield Cut(side, int(vantage), bound, within, far <= bound + radius, far > bound - radius)
 
 
-def link_shard(points: np.ndarray, half: np.ndarray, owned: np.ndarray, radius: int, max_bits: int) -> Links:
+def link_shard(
+    points: np.ndarray, half: int, owned: np.ndarray, max_bits: int, part: np.ndarray | None = None
+) -> Links:
     """Links between the owned points of a shard and all points that visit it.
 
     The shard's tree is carried on over its own points: pairs of (owned, visiting) rows that a vantage
-    point's triangle bound separates are never compared.
+    point's triangle bound separates are never compared, and neither are rows connected before. Where
+    `part` tells two parts apart, only pairs with one row in each are wanted.
     """
     links = Links(len(points))
-    everyone = np.arange(len(points))
+    sides, radii = _sides(points, half), (max_bits // 2, max_bits)
     generator = np.random.default_rng(len(points))
-    stack = [(np.flatnonzero(owned), everyone, 0)]
+    everyone = np.arange(len(points))
+    if part is None:
+        stack = [(everyone[owned], everyone)]
+    else:
+        stack = [(everyone[owned & (part == n)], everyone[part != n]) for n in (0, 1)]
     while stack:
-        own, visiting, failed = stack.pop()
-        if len(own) > COMPARED and failed < 8:
-            point = half[own[generator.integers(len(own))]]
-            near, far = (np.bitwise_count(half[x] ^ point).astype(np.int64) for x in (own, visiting))
-            bound = int(np.median(near))
-            if (near <= bound).all():
-                bound -= 1
-            within, reach, beyond = near <= bound, far <= bound + radius, far > bound - radius
+        own, visiting = stack.pop()
+        if not len(own) or not len(visiting):
+            continue
+        if len(own) > COMPARED:
             before = len(own) * len(visiting)
-            after = within.sum() * reach.sum() + (~within).sum() * beyond.sum()
-            if within.any() and after < 0.9 * before:
-                stack.append((own[within], visiting[reach], 0))
-                stack.append((own[~within], visiting[beyond], 0))
+            for cut in cuts(sides, radii, own, visiting, generator, 6):
+                after = cut.within.sum() * cut.reach.sum() + (~cut.within).sum() * cut.beyond.sum()
+                if after < 0.9 * before:
+                    stack.append((own[cut.within], visiting[cut.reach]))
+                    stack.append((own[~cut.within], visiting[cut.beyond]))
+                    break
             else:
-                stack.append((own, visiting, failed + 1))
+                _compare(links, points, owned, own, visiting, max_bits)
             continue
-        for first in range(0, len(visiting), BLOCK_POINTS):
-            others = visiting[first : first + BLOCK_POINTS]
-            for begin in range(0, len(own), BLOCK_ROWS):
-                block = own[begin : begin + BLOCK_ROWS]
-                near = np.bitwise_count(points[block][:, None] ^ points[others][None, :]) <= max_bits
-                rows, columns = np.nonzero(near)
-                left, right = block[rows], others[columns]
-                # A point itself, and pairs of two owned points from their other side, say nothing new.
-                new = (left != right) & ~(owned[right] & (left > right))
-                links.add(left[new], right[new])
+        _compare(links, points, owned, own, visiting, max_bits)
     return links
 
 
+def _compare(
+    links: Links, points: np.ndarray, owned: np.ndarray, own: np.ndarray, visiting: np.ndarray, max_bits: int
+) -> None:
+    """Compare blocks of owned points with blocks of visiting ones, leaving out those in one tree already."""
+    for first in range(0, len(visiting), BLOCK_POINTS):
+        here = visiting[first : first + BLOCK_POINTS]
+        for begin in range(0, len(own), BLOCK_ROWS):
+            block = own[begin : begin + BLOCK_ROWS]
+            others, tree = here, links.roots(block)
+            if (tree == tree[0]).all():
+                others = here[links.roots(here) != tree[0]]
+                if not len(others):
+                    continue
+            near = np.bitwise_count(points[block][:, None] ^ points[others][None, :]) <= max_bits
+            rows, columns = np.nonzero(near)
+            left, right = block[rows], others[columns]
+            # A point itself, and pairs of two owned points from their other side, say nothing new.
+            new = (left != right) & ~(owned[right] & (left > right))
+            left, right = left[new], right[new]
+            heads = np.flatnonzero(np.diff(left, prepend=-1))
+            for point, near_it in zip(left[heads].tolist(), np.split(right, heads[1:]), strict=False):
+                links.star(point, near_it)
+
+
+# --- shards of bounded size -------------------------------------------------------------------------
+
+
+def build_subtree(points: np.ndarray, half: int, owned: np.ndarray, max_bits: int) -> tuple[list, list, list] | None:
+    """A tree of SUBTREE_LEVELS levels, as a heap, that splits a crowded shard; None where none pays.
+
+    A cut sends rows to both sides if they are near its boundary. Where the two sides' shares of the rows
+    are r and s, comparing blocks of rows copies fewer of them than the cut does unless r^2 + s^2 < 1.
+    A node without a worthwhile cut hands all its rows to its inner side.
+    """
+    nodes = SUBTREE_NODES
+    side, vantage, bound = [0] * nodes, [0] * nodes, [EVERYTHING] * nodes
+    sides, radii = _sides(points, half), (max_bits // 2, max_bits)
+    generator = np.random.default_rng(len(points))
+    stack = [(0, np.flatnonzero(owned), np.arange(len(points)))]
+    while stack:
+        node, own, visiting = stack.pop()
+        if node >= nodes or len(own) < 2:
+            continue
+        found = list(cuts(sides, radii, own, visiting, generator, 8))
+        costs = [cut.reach.mean() ** 2 + cut.beyond.mean() ** 2 for cut in found]
+        if min(costs, default=1.0) >= WORTHWHILE:
+            if not node:
+                return None
+            continue
+        cut = found[int(np.argmin(costs))]
+        side[node], vantage[node], bound[node] = cut.side, cut.vantage, cut.bound
+        stack.append((2 * node + 1, own[cut.within], visiting[cut.reach]))
+        stack.append((2 * node + 2, own[~cut.within], visiting[cut.beyond]))
+    return side, vantage, bound
+
+
+def descend_subtrees(
+    points: np.ndarray, half: np.ndarray, owned: np.ndarray, trees: tuple[np.ndarray, ...], max_bits: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, leaves, owned) of every row in the subtree of its own shard; trees are matrices by row."""
+    side, vantage, bound = trees
+    upper, lower = _halves(points.view(np.int64))
+    rows, nodes, own = np.arange(len(points)), np.zeros(len(points), np.int64), owned
+    for _ in range(SUBTREE_LEVELS):
+        # Side 0 is the half of the row's own tree, 1 the other one.
+        in_own = side[rows, nodes] == 0
+        value = np.where((half[rows] == 0) == in_own, upper[rows], lower[rows])
+        radius = np.where(in_own, max_bits // 2, max_bits)
+        distance = np.bitwise_count(value ^ vantage[rows, nodes].astype(np.uint32)).astype(np.int64)
+        limit = bound[rows, nodes]
+        within, inside, outside = distance <= limit, distance <= limit + radius, distance > limit - radius
+        own = np.concatenate([(own & within)[inside], (own & ~within)[outside]])
+        nodes = np.concatenate([2 * nodes[inside] + 1, 2 * nodes[outside] + 2])
+        rows = np.concatenate([rows[inside], rows[outside]])
+    return rows, nodes - SUBTREE_NODES, own
+
+
 SHARD_DDL = "half int, leaf long, point long, owned boolean"
+TREE_DDL = "half int, leaf long, side array<int>, vantage array<long>, bound array<int>"
 EDGE_DDL = "a long, b long"
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+Sides = tuple[np.ndarray, np.ndarray]
 
-def _halves(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def _halves(points: np.ndarray) -> Sides:
     whole = points.view(np.uint64)
     return (whole >> np.uint64(32)).astype(np.uint32), whole.astype(np.uint32)
 
 
-def links(points: DataFrame, max_bits: int = MAX_BITS, *, sample_points: int = SAMPLE_POINTS) -> DataFrame:
+def _sides(points: np.ndarray, half: int) -> Sides:
+    """The half that a tree is over, and the other one."""
+    both = _halves(points)
+    return both[half], both[1 - half]
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, SUBTREE_NODES)
+
+
+def _split(visits: DataFrame, crowded: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of the crowded shards in smaller ones, shards that no cut separates)."""
+    keys = ["half", "leaf"]
+
+    def grown(key: tuple, group: pa.Table) -> pa.Table:
+        points = group["point"].to_numpy().view(np.uint64)
+        found = build_subtree(points, key[0].as_py(), group["owned"].to_numpy(), max_bits)
+        side, vantage, bound = found or (None, None, None)
+        lists = [pa.array([side], pa.list_(pa.int32())), pa.array([vantage], pa.list_(pa.int64()))]
+        columns = [pa.array([k.as_py()], k.type) for k in key]
+        names = [*keys, "side", "vantage", "bound"]
+        return pa.table([*columns, *lists, pa.array([bound], pa.list_(pa.int32()))], names=names)
+
+    def smaller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            half, leaf, point = (batch.column(n).to_numpy() for n in range(3))
+            owned = batch.column("owned").to_numpy(zero_copy_only=False)
+            trees = tuple(_matrix(batch.column(n)) for n in ("side", "vantage", "bound"))
+            rows, below, own = descend_subtrees(point.view(np.uint64), half, owned, trees, max_bits)
+            leaves = (leaf[rows] << SUBTREE_LEVELS) + below
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(half[rows]), pa.array(leaves), pa.array(point[rows]), pa.array(own)],
+                ["half", "leaf", "point", "owned"],
+            )
+
+    luck = F.pmod(F.xxhash64(F.lit(2), "leaf", "point"), F.lit(1 << 30)) / F.lit(1 << 30)
+    # Rows that a shard owns count for as much in its sample as all that visit it.
+    share = F.when(F.col("owned"), SUBTREE_SAMPLE / F.col("own_rows")).otherwise(SUBTREE_SAMPLE / F.col("rows"))
+    sampled = visits.join(crowded, keys).filter(luck < share).select(*visits.columns)
+    trees = written(sampled.groupBy(*keys).applyInArrow(grown, TREE_DDL), "subtrees")
+    joined = visits.join(trees.filter("side is not null"), keys)
+    return (
+        joined.select(*visits.columns, "side", "vantage", "bound").mapInArrow(smaller, SHARD_DDL),
+        crowded.join(trees.filter("side is not null"), keys, "left_anti"),
+    )
+
+
+def _shards(visits: DataFrame, max_bits: int, shard_rows: int) -> DataFrame:
+    """The visits in groups (round, half, leaf, low, high) of about 2 x shard_rows rows at most.
+
+    Crowded shards are split by trees of their own, sampled from themselves, round after round. What no
+    cut separates lies within few bits of each other: its rows are dealt into blocks, and a group holds
+    two blocks, so that every pair of rows meets in one of them.
+    """
+    keys = ["half", "leaf"]
+    groups = [*keys, "point", "owned"]
+    done: list[DataFrame] = []
+    for number in count():
+        sizes = visits.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if("owned").alias("own_rows")
+        )
+        crowded = written(sizes.filter(F.col("rows") > shard_rows), "crowded")
+        none = crowded.isEmpty()
+        calm = visits if none else visits.join(crowded, keys, "left_anti")
+        nothing = F.lit(0).cast("long")
+        done.append(
+            calm.select(F.lit(number).alias("round"), *groups, *[nothing.alias(n) for n in ("low", "high", "part")])
+        )
+        if none:
+            break
+        # A shard that owns nothing has nothing to compare.
+        crowded = crowded.filter("own_rows > 0")
+        if number < MOST_ROUNDS:
+            following, dense = _split(visits, crowded, max_bits)
+            following = written(following, "visits")
+        else:
+            following, dense = visits.limit(0), crowded
+        blocks = F.ceil(F.col("rows") / shard_rows)
+        dealt = visits.join(dense, keys).withColumns(
+            {"blocks": blocks, "part": F.pmod(F.xxhash64(F.lit(3), "point"), blocks)}
+        )
+        met = dealt.withColumn("other", F.explode(F.sequence(nothing, F.col("blocks") - 1)))
+        pair = {"low": F.least("part", "other"), "high": F.greatest("part", "other")}
+        done.append(met.withColumns(pair).select(F.lit(-1 - number).alias("round"), *groups, "low", "high", "part"))
+        visits = following
+    return reduce(DataFrame.unionByName, done)
+
+
+def links(
+    points: DataFrame,
+    max_bits: int = MAX_BITS,
+    *,
+    sample_points: int = SAMPLE_POINTS,
+    shard_rows: int = SHARD_ROWS,
+) -> DataFrame:
     """Edges (a, b) that connect all distinct values of `point` that differ in at most max_bits bits.
 
     The edges are a spanning forest for each shard: every link lies within a component, and no component
     is split, but copies of a link are left out.
     """
-    count = points.count()
-    share = min(1.0, sample_points / max(count, 1))
+    total = points.count()
+    share = min(1.0, sample_points / max(total, 1))
     luck = F.pmod(F.xxhash64(F.lit(1), "point"), F.lit(1 << 30)) / F.lit(1 << 30)
     sampled = points.filter(luck < share).select("point").toArrow()["point"].to_numpy().copy()
     leaf_points = max(LEAF_SAMPLE, int(SHARD_POINTS * share))
-    trees = [build_tree(half, leaf_points, n) for n, half in enumerate(_halves(sampled))] if count else []
+    trees = [build_tree(half, leaf_points, n) for n, half in enumerate(_halves(sampled))] if total else []
     radius = max_bits // 2
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,16 +483,17 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, *, sample_points: int = S
 
     def compared(key: tuple, group: pa.Table) -> pa.Table:
         held = group["point"].to_numpy().view(np.uint64)
-        owned = group["owned"].to_numpy()
-        half = _halves(held.view(np.int64))[key[0].as_py()]
-        kept = np.asarray(link_shard(held, half, owned, radius, max_bits).kept, np.int64).reshape(-1, 2)
+        low, high = key[3].as_py(), key[4].as_py()
+        part = None if low == high else (group["part"].to_numpy() == high).astype(np.int64)
+        kept = link_shard(held, key[1].as_py(), group["owned"].to_numpy(), max_bits, part).edges()
         ends = held.view(np.int64)
         return pa.table({"a": ends[kept[:, 0]], "b": ends[kept[:, 1]]}, schema=EDGES)
 
     if not trees:
         return points.sparkSession.createDataFrame([], EDGE_DDL)
-    visits = points.select("point").mapInArrow(shards, SHARD_DDL)
-    return visits.groupBy("half", "leaf").applyInArrow(compared, EDGE_DDL)
+    visits = written(points.select("point").mapInArrow(shards, SHARD_DDL), "visits")
+    grouped = _shards(visits, max_bits, shard_rows).groupBy("round", "half", "leaf", "low", "high")
+    return grouped.applyInArrow(compared, EDGE_DDL)
 
 
 # --- components -------------------------------------------------------------------------------------

@@ -104,6 +104,83 @@ def test_one_dense_group_gives_few_edges(spark):
     assert found.select("root").distinct().count() == 1
 
 
+def crowded_points(kind):
+    """Points of which many lie in one leaf: random ones, one half in common, or all few bits apart."""
+    generator = np.random.default_rng(len(kind))
+    values = set(clustered(9, 300, 4, 3))
+    wide = generator.integers(0, 1 << 32, 1500, dtype=np.uint64).tolist()
+    if kind == "upper":
+        values |= {(7 << 32) | v for v in wide}
+    elif kind == "lower":
+        values |= {(v << 32) | 7 for v in wide}
+    elif kind == "ball":
+        values |= {sum(1 << int(b) for b in set(generator.integers(0, 64, 3).tolist())) for _ in range(1500)}
+    else:
+        values |= {v ^ (1 << int(b)) for v, b in zip(list(values), generator.integers(0, 64, len(values)), strict=True)}
+    return sorted(values)
+
+
+@pytest.mark.parametrize("kind", ["spread", "upper", "lower", "ball"])
+def test_crowded_shards_are_split_and_lose_no_link(spark, kind, monkeypatch):
+    values = crowded_points(kind)
+    signed = np.asarray(values, np.uint64).view(np.int64)
+    points = spark.createDataFrame([(int(v),) for v in signed], "point long")
+    seen = {}
+    shards = simhash._shards
+
+    def watched(visits, max_bits, shard_rows):
+        found = shards(visits, max_bits, shard_rows)
+        seen["largest"] = max(visits.groupBy("half", "leaf").count().toArrow()["count"].to_pylist())
+        sizes = found.groupBy("round", "half", "leaf", "low", "high").count().collect()
+        seen["group"] = max(r["count"] for r in sizes)
+        seen["rounds"] = {r["round"] for r in sizes}
+        return found
+
+    monkeypatch.setattr(simhash, "_shards", watched)
+    edges = simhash.links(points, 3, sample_points=400, shard_rows=200).collect()
+    assert seen["largest"] > 200 and len(seen["rounds"]) > 1
+    assert kind == "ball" or max(seen["rounds"]) > 0  # cuts found, and not blocks alone
+    assert seen["group"] <= 3 * 200  # two blocks, dealt by hash
+    place = {int(v): n for n, v in enumerate(signed)}
+    pairs = [(place[r.a], place[r.b]) for r in edges]
+    assert all((values[a] ^ values[b]).bit_count() <= 3 for a, b in pairs)
+    assert roots(len(values), pairs) == plain_components(values, 3)
+
+
+@pytest.mark.parametrize("bits", [0, 3])
+def test_a_shard_links_what_brute_force_links(bits):
+    """Whole, with visitors that it does not own, and in two parts."""
+    values = crowded_points("ball")[:1200]
+    points = np.asarray(values, np.uint64)
+    everyone = np.ones(len(points), bool)
+    found = simhash.link_shard(points, 0, everyone, bits).edges().tolist()
+    assert len(found) < len(points)
+    assert roots(len(values), found) == plain_components(values, bits)
+    owned = np.arange(len(points)) % 3 == 0
+    part = (np.arange(len(points)) % 2).astype(np.int64)
+    found = simhash.link_shard(points, 1, owned, bits, part).edges().tolist()
+    wanted = [
+        (a, b) for a in range(len(values)) for b in range(a)
+        if (values[a] ^ values[b]).bit_count() <= bits and (owned[a] or owned[b]) and part[a] != part[b]
+    ]
+    assert all((owned[a] or owned[b]) and part[a] != part[b] for a, b in found)
+    assert roots(len(values), found) == roots(len(values), wanted)
+
+
+def test_a_half_in_common_is_told_apart_by_the_other(monkeypatch):
+    generator = np.random.default_rng(3)
+    points = np.unique((7 << 32) | generator.integers(0, 1 << 32, 20_000, dtype=np.uint64))
+    compare, compared = simhash._compare, []
+
+    def counted(links, points, owned, own, visiting, max_bits):
+        compared.append(len(own) * len(visiting))
+        compare(links, points, owned, own, visiting, max_bits)
+
+    monkeypatch.setattr(simhash, "_compare", counted)
+    simhash.link_shard(points, 0, np.ones(len(points), bool), 3)
+    assert sum(compared) < 0.8 * len(points) ** 2
+
+
 def test_a_long_chain_is_one_component(spark):
     edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = simhash.components(edges).collect()
