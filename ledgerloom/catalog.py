@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 from ledgerloom.batch import Batch
 from ledgerloom.functions import predicates, text
 from ledgerloom.operators import aggregates as agg
-from ledgerloom.operators import fingerprint, gates, inventory, lifecycle, metering, proofs, temporal
+from ledgerloom.operators import (
+    digest_tree as trees,
+    fingerprint,
+    gates,
+    inventory,
+    lifecycle,
+    metering,
+    proofs,
+    temporal,
+)
 from ledgerloom.plans import build, report
 from ledgerloom.schemas import TABLES
 from ledgerloom.session import fresh_dir
@@ -249,6 +258,31 @@ def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.table_fingerprints({name: batch[name] for name in TABLES})
 
 
+@query
+def digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the six tables' trees, each as deep as its rows ask for."""
+    batch = faulted_batch(spark, sf_dir)
+    rows = proofs.table_counts({name: batch[name] for name in TABLES}).collect()
+    return reduce(
+        DataFrame.unionByName,
+        [
+            trees.digest_tree(batch[name], trees.tree_depth(count)).select(
+                F.lit(name).alias("table_name"), "node", "rows", "digest"
+            )
+            for name, count in rows
+        ],
+    )
+
+
+@query
+def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders with their totals and currency mended against the orders as they are."""
+    orders = faulted_batch(spark, sf_dir)["orders"]
+    total = F.col("subtotal_cents") + F.col("tax_cents") - F.col("discount_cents")
+    mended = orders.withColumns({"total_cents": total, "currency": F.lit("INR")})
+    return trees.changed_rows(mended, orders, trees.tree_depth(orders.count()))
+
+
 def _page_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as stored objects: host as bucket, path as key, page id as version."""
     pages = given(spark, sf_dir, "pages")

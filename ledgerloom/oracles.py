@@ -356,8 +356,8 @@ def _generation(batch: str, digest: str) -> str:
 # --- table digests ------------------------------------------------------------------------------------
 
 
-def _json(columns: list[str]) -> str:
-    pairs = ", ".join(f"'{name}': {name}" for name in sorted(columns))
+def _json(columns: list[str], changes: dict[str, str] | None = None) -> str:
+    pairs = ", ".join(f"'{name}': {(changes or {}).get(name, name)}" for name in sorted(columns))
     return f"cast(to_json({{{pairs}}}) as varchar)"
 
 
@@ -374,6 +374,40 @@ def _fingerprint(table: str, view: str | None = None) -> str:
     )
 
 
+# Digits of a leaf for n rows: one for each power of 16 whose leaves of 1,024 rows are too few.
+MOST_DIGITS = 8
+
+
+def _digits(rows: str) -> str:
+    return "+".join(f"cast({rows}>{1024 * 16**digit} as bigint)" for digit in range(MOST_DIGITS))
+
+
+def _tree(table: str) -> str:
+    view = VIEW_OF_TABLE[table]
+    covering = "sha256(string_agg({0}, ',' order by {0})) as digest"
+    steps = [
+        f"hashed as (select sha256({_json(SCHEMAS[table].names)}) as h from {view})",
+        f"size as (select {_digits('count(*)')} as depth from hashed)",
+        "copies as (select left(h, depth) as node, concat(h, ':', count(*)) as member, count(*) as n"
+        " from hashed, size group by h, depth)",
+        f"leaves as (select node, cast(sum(n) as bigint) as rows, {covering.format('member')}"
+        " from copies group by node)",
+        f"level{MOST_DIGITS} as (select * from leaves where length(node)={MOST_DIGITS})",
+    ]
+    for level in reversed(range(MOST_DIGITS)):
+        member = "concat(node, ':', rows, ':', digest)"
+        steps.append(
+            f"level{level} as (select * from leaves where length(node)={level} union all"
+            f" select left(node, {level}), cast(sum(rows) as bigint), {covering.format(member)}"
+            f" from level{level + 1} group by left(node, {level}))"
+        )
+    nodes = " union all ".join(f"select * from level{level}" for level in range(MOST_DIGITS + 1))
+    return f"(with {', '.join(steps)} select '{table}' as table_name, node, rows, digest from ({nodes}))"
+
+
+_MENDED = {"total_cents": "subtotal_cents+tax_cents-discount_cents", "currency": "'INR'"}
+
+
 VIEWS["v_fingerprints"] = " union all ".join(_fingerprint(table) for table in TABLES)
 
 # --- the six synthetic tables -------------------------------------------------------------------------
@@ -535,6 +569,13 @@ BODIES: dict[str, str] = {
     " select cast(order_id as varchar), 'right'"
     " from (select order_id from f_payments except select order_id from f_orders)",
     "table_fingerprint": "select * from v_fingerprints",
+    "digest_tree": " union all ".join(f"select * from {_tree(table)}" for table in TABLES),
+    "changed_rows": f"with size as (select {_digits('count(*)')} as depth from f_orders),"
+    f" held as (select {_json(SCHEMAS['orders'].names, _MENDED)} as row, 1 as was, 0 as now from f_orders"
+    f" union all select {_json(SCHEMAS['orders'].names)}, 0, 1 from f_orders)"
+    " select left(sha256(row), depth) as node, row, cast(sum(was) as bigint) as copies_before,"
+    " cast(sum(now) as bigint) as copies_after from held, size group by row, depth"
+    " having sum(was)<>sum(now)",
     "object_proof": "select coalesce(d.bucket, s.bucket) as bucket, coalesce(d.key, s.key) as key,"
     " coalesce(d.version_id, s.version_id) as version_id,"
     " case when s.version_id is null then 'MISSING_OBJECT'"

@@ -136,7 +136,7 @@ def all_evidence(spark: SparkSession, root: str) -> DataFrame:
             T.StructField("attempt", T.LongType()),
         ]
     )
-    files, folder = _hadoop_path(spark, f"{root}/_evidence")
+    files, folder = hadoop_path(spark, f"{root}/_evidence")
     if not files.exists(folder):
         return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
     rows = spark.read.schema(schema).json(f"{root}/_evidence")
@@ -166,13 +166,14 @@ def pinned_read(spark: SparkSession, root: str, generation_id: str) -> dict[str,
     }
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a name in the store."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def _names(spark: SparkSession, folder: str) -> list[str]:
-    files, place = _hadoop_path(spark, folder)
+    files, place = hadoop_path(spark, folder)
     if not files.exists(place):
         return []
     return [status.getPath().getName() for status in files.listStatus(place)]
@@ -184,7 +185,7 @@ def put_once(spark: SparkSession, path: str, content: dict) -> bool:
     The content goes to a hidden name first; renaming without overwrite commits it. That step is atomic
     where the file system's rename is, and a local folder checks and then renames.
     """
-    files, place = _hadoop_path(spark, path)
+    files, place = hadoop_path(spark, path)
     files.mkdirs(place.getParent())
     draft = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{uuid.uuid4().hex}")
     stream = files.create(draft, False)
@@ -223,7 +224,7 @@ BATCH = "batch_id string, manifest_digest string, generation_id string"
 def registered_batch(spark: SparkSession, root: str, batch_id: str) -> dict | None:
     """The accepted identity of a batch, None before it has one."""
     path = f"{root}/_batches/{batch_id}.json"
-    files, place = _hadoop_path(spark, path)
+    files, place = hadoop_path(spark, path)
     if not files.exists(place):
         return None
     return spark.read.schema(BATCH).json(path).first().asDict()
