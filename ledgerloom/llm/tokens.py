@@ -2,18 +2,20 @@
 
 The tokenizer lower-cases, cuts a text into pre-tokens (letter runs, single digits, symbol runs, a few
 contractions) and merges within each of them; white space is dropped. So a text's ids are those of its
-words in order, and those of a word that ends in a letter and punctuation are its two parts' in order.
-Texts of Latin-1 characters, where lower case and letters depend on nothing but the character, are cut into
-words here; words that are letters only go to the tokenizer many at a time, one to a line. All other words,
-and all other texts, go to the tokenizer as they are.
+words in order, and a word's are those of its pre-tokens. Texts of Latin-1 characters, where lower case and
+letters depend on nothing but the character, are cut into words here; words of letters, digits and ASCII
+symbols are cut into pre-tokens here too, and only these go to the tokenizer's merges. All other words (such
+as those with an apostrophe, which may begin a contraction) and all other texts go to the tokenizer whole.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -23,90 +25,91 @@ from ledgerloom.llm.common import KEPT_BY_WORKER
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
-#: Words a worker remembers; when full it starts anew. This bounds memory and changes no result.
-REMEMBERED = 600_000
+#: Words a worker remembers, in two halves: when the newer is full, the older goes. This bounds memory and
+#: changes no result.
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
 #: Texts that are encoded at once.
 BATCH_TEXTS = 256
 
-# Lower-case letters of Latin-1, punctuation that may follow a word, what begins a special
-# token, and characters that Python counts as white space but the tokenizer does not.
-_LETTERS = re.compile("[a-zªµºß-öø-ÿ]+")
-_PUNCTUATION = ".,!?;:"
-_AS_IS = re.compile("<\\||[\x1c-\x1f]")
+# A word of lower-case letters of Latin-1, digits and ASCII symbols but the apostrophe; its
+# pre-tokens; what begins a special token, and characters that Python counts as white space but the tokenizer
+# does not.
+_LETTERS = "a-zªµºß-öø-ÿ"
+_SYMBOLS = r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(f"[{_LETTERS}0-9{_SYMBOLS}]+")
+_PRE_TOKENS = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SYMBOLS}]+")
+_AS_IS = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+#: Bytes as the merges know them: those that print in Latin-1 stand for themselves, the others follow from 256 on.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = [byte for byte in range(256) if byte not in _PRINTED]
+_BYTE_LEVEL = {byte: chr(byte) for byte in _PRINTED} | {byte: chr(256 + n) for n, byte in enumerate(_OTHERS)}
+_LEVELLED = {n: "".join(_BYTE_LEVEL[byte] for byte in chr(n).encode()) for n in range(0x80, 0x100)}
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+_PACKERS = [struct.Struct(f"<{n}I") for n in range(LONGEST_REMEMBERED)]
+
+
 def _packed(ids: Sequence[int]) -> bytes:
+    if len(ids) < len(_PACKERS):
+        return _PACKERS[len(ids)].pack(*ids)
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
-class WordEncoder:
-    """Keeps word -> ids, as little-endian unsigned 32-bit integers."""
+class _Words(dict):
+    """word -> ids. What is not there is learned, and kept if the word is not long."""
 
-    def __init__(self, path: str):
-        self._tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self._tokenizer = tokenizer
+        self._merges = tokenizer.model.tokenize
+        self._before: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _learn(self, words: set[str]) -> None:
-        parts = {word: word.rstrip(_PUNCTUATION) for word in words}
-        parts = {word: stem if _LETTERS.fullmatch(stem) else word for word, stem in parts.items()}
-        new = {part for part in parts.values() if part not in self.known}
-        runs = [part for part in new if _LETTERS.fullmatch(part)]
-        if runs:
-            found = self._tokenizer.encode("\n".join(runs), add_special_tokens=False)
-            ids, lines = np.asarray(found.ids, "<u4"), np.asarray(found.word_ids)
-            first = np.flatnonzero(np.diff(lines, prepend=-1))
-            if len(first) == len(runs):
-                data, ends = ids.tobytes(), np.append(first[1:], len(ids)) * 4
-                for run, begin, end in zip(runs, (first * 4).tolist(), ends.tolist(), strict=True):
-                    self.known[run] = data[begin:end]
-        for part in new:
-            if part not in self.known:
-                self.known[part] = self._whole(part)
-        for word, part in parts.items():
-            if word not in self.known:
-                tail = word[len(part) :]
-                if tail not in self.known:
-                    self.known[tail] = self._whole(tail)
-                self.known[word] = self.known[part] + self.known[tail]
+    def _merged(self, pre_token: str) -> bytes:
+        levelled = pre_token if pre_token.isascii() else pre_token.translate(_LEVELLED)
+        return _packed([token.id for token in self._merges(levelled)])
+
+    def __missing__(self, word: str) -> bytes:
+        if len(word) > LONGEST_REMEMBERED:
+            return self.whole(word)
+        ids = self._before.get(word)
+        if ids is None:
+            if word.isalpha():
+                ids = self._merged(word)
+            elif _PLAIN.fullmatch(word):
+                parts = _PRE_TOKENS.findall(word)
+                ids = b"".join([self[part] if part != word else self._merged(part) for part in parts])
+            else:
+                ids = self.whole(word)
+        if len(self) >= REMEMBERED // 2:
+            self._before = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
-    def encode_batch(self, texts: Sequence[str | None]) -> list[bytes]:
-        """Ids of every whole text; null counts as empty."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        found: list[tuple[list[str], list[bytes | None], list[int]]] = []
-        new: set[str] = set()
-        for text in texts:
-            text = text or ""
-            if _AS_IS.search(text) or not _is_latin(text):
-                found.append(([], [self._whole(text)], []))
-                continue
-            words = text.lower().split()
-            ids = list(map(self.known.get, words))
-            unknown = [place for place, own in enumerate(ids) if own is None]
-            for place in unknown:
-                if len(words[place]) > LONGEST_REMEMBERED:
-                    ids[place] = self._whole(words[place])
-                else:
-                    new.add(words[place])
-            found.append((words, ids, unknown))
-        if new:
-            self._learn(new)
-        for words, ids, unknown in found:
-            for place in unknown:
-                if ids[place] is None:
-                    ids[place] = self.known[words[place]]
-        return [b"".join(ids) for _, ids, _ in found]
+
+class WordEncoder:
+    """Ids of texts as little-endian unsigned 32-bit integers."""
+
+    def __init__(self, path: str):
+        self.known = _Words(Tokenizer.from_file(path))
 
     def encode(self, text: str | None) -> bytes:
-        return self.encode_batch([text])[0]
+        """Ids of the whole text; null counts as empty."""
+        text = text or ""
+        if any(map(text.__contains__, _AS_IS)) or not _is_latin(text):
+            return self.known.whole(text)
+        return b"".join(map(self.known.__getitem__, text.lower().split()))
+
+    def encode_batch(self, texts: Sequence[str | None]) -> list[bytes]:
+        return list(map(self.encode, texts))
 
 
 def _is_latin(text: str) -> bool:
@@ -118,7 +121,9 @@ def _is_latin(text: str) -> bool:
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder of a tokenizer file, kept until the worker does other work."""
+    """The worker's encoder of a tokenizer file, kept until the worker does other work, whose memory it takes."""
     if path not in KEPT_BY_WORKER:
+        KEPT_BY_WORKER.clear()
+        pa.default_memory_pool().release_unused()
         KEPT_BY_WORKER[path] = WordEncoder(path)
     return KEPT_BY_WORKER[path]

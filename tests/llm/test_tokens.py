@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -41,3 +42,19 @@ def test_all_latin_characters_alone_and_in_a_word():
     texts = characters + [f"a{c}b" for c in characters] + [f"1{c}'s{c}" for c in characters]
     for text, ids in zip(texts, ENCODER.encode_batch(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == ids_of(text)[:-1], repr(text)
+
+
+def test_one_text_of_many_words_keeps_the_bound(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 100)
+    small = tokens.WordEncoder(tokens.tokenizer_path())
+    text = " ".join(f"wörd{chr(97 + n % 26)}{chr(97 + n // 26)}, the no{n}% a.b" for n in range(600))
+    assert small.encode(text) == ENCODER.encode(text)
+    assert np.frombuffer(small.encode(text), "<u4").tolist() == ids_of(text)[:-1]
+    assert len(small.known) <= 50
+
+
+def test_an_encoder_takes_the_memory_of_other_work(monkeypatch):
+    kept = {"of other work": object()}
+    monkeypatch.setattr(tokens, "KEPT_BY_WORKER", kept)
+    found = tokens.encoder(tokens.tokenizer_path())
+    assert list(kept.values()) == [found] and tokens.encoder(tokens.tokenizer_path()) is found
