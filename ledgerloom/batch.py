@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.schemas import TABLES
 from ledgerloom.session import fresh_dir
-from ledgerloom.skew import DEFAULT_POLICY, SkewPolicy, hot_keys
+from ledgerloom.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, tasks_for
 
 
 class Batch:
@@ -47,6 +47,10 @@ class Batch:
             self._hot[probe] = hot_keys(self[table], keys, self.policy, self.rows(table))
         return self._hot[probe]
 
+    def tasks(self, table: str) -> int | None:
+        """Tasks that the table's rows should go to by key, None for a small table."""
+        return tasks_for(self[table].sparkSession, self.rows(table))
+
     def kept(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A frame that several rules read, written to the shared folder on first use."""
         if name not in self._kept:

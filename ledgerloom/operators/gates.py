@@ -15,7 +15,7 @@ from ledgerloom.operators import aggregates as agg
 from ledgerloom.operators.inventory import running_stock
 from ledgerloom.operators.temporal import dimension_matches, line_events
 from ledgerloom.schemas import CURRENCIES, ENTITY_NAMES, IDENTITY_KEYS, MESSAGES
-from ledgerloom.skew import lookup_join
+from ledgerloom.skew import lookup_join, spread_groups
 
 # The conditions a row must meet, shared with the one-pass report.
 
@@ -85,10 +85,14 @@ def duplicate_ids(frame: DataFrame, table: str, copies: str | None = None) -> Da
     )
 
 
+def duplicates_in(batch: Batch, table: str) -> DataFrame:
+    keys, tasks = IDENTITY_KEYS[table], batch.tasks(table)
+    hot = None if tasks is None else batch.hot(table, *keys)
+    return spread_groups(batch[table], keys, tasks, hot, lambda rows: duplicate_ids(rows, table))
+
+
 def gate_duplicate_id(batch: Batch) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName, [duplicate_ids(batch[table], table) for table in IDENTITY_KEYS]
-    )
+    return reduce(DataFrame.unionByName, [duplicates_in(batch, table) for table in IDENTITY_KEYS])
 
 
 def sorted_duplicates(batch: Batch) -> DataFrame:

@@ -17,4 +17,5 @@ def running_stock(batch: Batch) -> DataFrame:
         ["movement_ts", "movement_id"],
         {"stock": F.col("quantity_delta")},
         batch.hot("inventory_movements", "product_id", "store_id"),
+        batch.tasks("inventory_movements"),
     )

@@ -33,6 +33,7 @@ def line_events(batch: Batch, *measures: Column) -> DataFrame:
         ["order_id"],
         "inner",
         batch.hot("order_lines", "order_id"),
+        batch.tasks("order_lines"),
     )
     if measures:
         return joined.groupBy(*EVENT).agg(*measures)

@@ -22,7 +22,7 @@ from ledgerloom.operators import gates
 from ledgerloom.operators.temporal import dimension_matches
 from ledgerloom.schemas import COMPLETED, IDENTITY_KEYS, MESSAGES
 from ledgerloom.session import literal_frame
-from ledgerloom.skew import lookup_join
+from ledgerloom.skew import lookup_join, spread_groups
 
 
 class QualityGateError(ValueError):
@@ -62,13 +62,17 @@ def _once(condition: Column) -> Column:
 
 def line_facts(batch: Batch) -> DataFrame:
     """One row per distinct (order, line, product): copies, sums, and copies that break a row rule."""
-    return batch["order_lines"].groupBy("order_id", "line_id", "product_id").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.sum("line_total_cents").alias("line_total_cents"),
-        F.max("quantity").alias("ordered_quantity"),
-        F.count_if(unless(gates.line_is_valid())).alias("invalid"),
-        F.count_if(unless(gates.line_adds_up())).alias("wrong_total"),
-    )
+    def facts(lines: DataFrame) -> DataFrame:
+        return lines.groupBy("order_id", "line_id", "product_id").agg(
+            F.count(F.lit(1)).alias("copies"),
+            F.sum("line_total_cents").alias("line_total_cents"),
+            F.max("quantity").alias("ordered_quantity"),
+            F.count_if(unless(gates.line_is_valid())).alias("invalid"),
+            F.count_if(unless(gates.line_adds_up())).alias("wrong_total"),
+        )
+
+    hot = batch.hot("order_lines", "order_id")
+    return spread_groups(batch["order_lines"], ["order_id"], batch.tasks("order_lines"), hot, facts)
 
 
 def return_facts(batch: Batch, lines: DataFrame) -> DataFrame:
@@ -99,7 +103,7 @@ def _order_grain(batch: Batch, lines: DataFrame) -> DataFrame:
         .agg(F.sum("line").alias("line_subtotal"), F.sum("captured").alias("captured_cents"))
     )
     orders = lookup_join(
-        batch["orders"], facts, ["order_id"], "left", batch.hot("orders", "order_id")
+        batch["orders"], facts, ["order_id"], "left", batch.hot("orders", "order_id"), batch.tasks("orders")
     )
     entity = F.col("order_id")
     completed = F.coalesce(F.col("status") == COMPLETED, F.lit(False))
@@ -120,6 +124,7 @@ def _line_grain(batch: Batch, lines: DataFrame) -> DataFrame:
         ["order_id"],
         "left",
         batch.hot("order_lines", "order_id"),
+        batch.tasks("order_lines"),
     )
     line, product = F.col("line_id"), F.col("product_id")
     has_order, matches = F.col("has_order").isNotNull(), F.col("dimension_matches")
@@ -160,8 +165,13 @@ def _return_sums(batch: Batch, returns: DataFrame) -> DataFrame:
 
 
 def _duplicates(batch: Batch, lines: DataFrame) -> DataFrame:
-    others = [gates.duplicate_ids(batch[name], name) for name in IDENTITY_KEYS if name != "order_lines"]
-    return reduce(DataFrame.unionByName, [gates.duplicate_ids(lines, "order_lines", "copies"), *others])
+    keys, tasks = IDENTITY_KEYS["order_lines"], batch.tasks("order_lines")
+    hot = None if tasks is None else batch.hot("order_lines", *keys)
+    repeated = spread_groups(
+        lines, keys, tasks, hot, lambda rows: gates.duplicate_ids(rows, "order_lines", "copies")
+    )
+    others = [gates.duplicates_in(batch, name) for name in IDENTITY_KEYS if name != "order_lines"]
+    return reduce(DataFrame.unionByName, [repeated, *others])
 
 
 def violation_report(batch: Batch) -> DataFrame:

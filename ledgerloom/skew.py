@@ -6,12 +6,12 @@ function below returns the same rows whatever set of keys it is given.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.session import shared_dir
@@ -34,6 +34,10 @@ class SkewPolicy:
 
 DEFAULT_POLICY = SkewPolicy()
 
+#: Rows dealt out by key that one task should get. Keys pack so well that a shuffle's bytes say little about what
+#: its rows take in a sort or a hash table, so larger frames name their tasks instead of leaving them to bytes.
+ROWS_PER_TASK = 1_000_000
+
 #: The column of a hot-key frame that says the slices' worth of rows that a key has.
 SLICES = "_slices"
 
@@ -71,6 +75,38 @@ def hot_keys(
     return frame.sparkSession.createDataFrame(heaviest, found.schema)
 
 
+def tasks_for(spark: SparkSession, rows: int) -> int | None:
+    """Tasks for so many rows dealt out by key, None for the few that the session's own partitions will hold."""
+    if rows <= 4 * ROWS_PER_TASK:
+        return None
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(rows / ROWS_PER_TASK))
+
+
+def spread(frame: DataFrame, keys: Sequence[str], tasks: int | None) -> DataFrame:
+    """The frame dealt out by its keys to so many tasks, as it is where there is no number."""
+    return frame if tasks is None else frame.repartition(tasks, *keys)
+
+
+def spread_groups(
+    frame: DataFrame,
+    keys: Sequence[str],
+    tasks: int | None,
+    hot: DataFrame | None,
+    aggregate: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """An aggregate by `keys`, or by them and more, over rows dealt out to so many tasks first.
+
+    Tables with few rows per key gain nothing from collapsing before the shuffle, where hash tables grow with
+    the files read. The rows of hot keys still collapse first.
+    """
+    if tasks is None:
+        return aggregate(frame)
+    if hot is None:
+        return aggregate(spread(frame, keys, tasks))
+    hot_rows, other_rows = split_hot(frame, hot, keys)
+    return aggregate(hot_rows).unionByName(aggregate(spread(other_rows, keys, tasks)))
+
+
 def split_hot(frame: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows of hot keys, all other rows). Null keys are compared as values."""
     marked = hot.select(*[F.col(key).alias(f"_hot_{key}") for key in keys])
@@ -87,18 +123,21 @@ def lookup_join(
     keys: Sequence[str],
     how: str,
     hot: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Join many rows to a side that has one row per key (`inner`, `left`, `left_semi`, `left_anti`).
 
     The lookup rows of hot keys number at most one per hot key, so they are broadcast and the rows of
-    those keys stay where they were read; everything else is an ordinary shuffled equi join.
+    those keys stay where they were read; everything else is an ordinary shuffled equi join, over `tasks`
+    tasks if that is given.
     """
     keys = list(keys)
     if hot is None:
-        return rows.join(lookup, keys, how)
+        return spread(rows, keys, tasks).join(lookup, keys, how)
     hot_rows, other_rows = split_hot(rows, hot, keys)
     hot_lookup = F.broadcast(lookup.join(F.broadcast(hot.select(*keys)), keys, "left_semi"))
-    return hot_rows.join(hot_lookup, keys, how).unionByName(other_rows.join(lookup, keys, how))
+    others = spread(other_rows, keys, tasks).join(lookup, keys, how)
+    return hot_rows.join(hot_lookup, keys, how).unionByName(others)
 
 
 def running_sums(
@@ -107,10 +146,11 @@ def running_sums(
     order: Sequence[str],
     sums: dict[str, Column],
     hot: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Add cumulative sums per key in the given order, the current row included.
 
-    Ordinary keys use a window. The rows of hot keys are range-partitioned by key and order, so one
+    Ordinary keys use a window, over `tasks` tasks if that is given. The rows of hot keys are range-partitioned by key and order, so one
     key spreads over many slices: each slice sums its own rows and adds the total of the slices
     before it. The slice numbers are fixed with a checkpoint, because a second evaluation of the
     range partitioning could cut elsewhere.
@@ -128,7 +168,7 @@ def running_sums(
 
     def plain(rows: DataFrame) -> DataFrame:
         window = within(*keys)
-        return rows.select(
+        return spread(rows, keys, tasks).select(
             *frame.columns, *[F.sum(inputs[name]).over(window).alias(name) for name in sums]
         )
 

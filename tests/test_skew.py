@@ -9,6 +9,8 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from golden import START, added, as_batch, golden_rows
+from ledgerloom import skew
+from ledgerloom.batch import Batch
 from ledgerloom.catalog import SPLIT
 from ledgerloom.operators import gates, lifecycle, temporal
 from ledgerloom.operators.inventory import running_stock
@@ -276,3 +278,37 @@ def test_search_finds_the_last_start(spark):
     frame = spark.createDataFrame(rows, "starts array<long>, t long")
     for row in frame.select("starts", "t", temporal.search("starts", "t").alias("place")).collect():
         assert row["place"] == sum(s <= row["t"] for s in row["starts"]) - 1
+
+
+def many_lines(spark):
+    """Lines, some of them repeated, of orders that are all there; one order has half of the lines."""
+    golden = as_batch(spark, golden_rows())
+    kinds = golden["orders"].schema["order_id"].dataType
+    number = spark.range(3000)
+    order = F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 400).cast(kinds)
+    line = (F.col("id") % 900).cast(golden["order_lines"].schema["line_id"].dataType)
+    lines = number.crossJoin(golden["order_lines"].limit(1).drop("order_id", "line_id")).select(
+        order.alias("order_id"), line.alias("line_id"), *golden["order_lines"].drop("order_id", "line_id").columns
+    )
+    orders = spark.range(400).crossJoin(golden["orders"].limit(1).drop("order_id")).select(
+        F.col("id").cast(kinds).alias("order_id"), *golden["orders"].drop("order_id").columns
+    )
+    return golden.replace(order_lines=lines.select(*golden["order_lines"].columns),
+                          orders=orders.select(*golden["orders"].columns))
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(hot_rows=500, sample_fraction=1.0)])
+def test_rows_by_key_go_to_as_many_tasks_as_they_ask_for(spark, monkeypatch, policy):
+    def found():
+        made = many_lines(spark)
+        batch = Batch(made.tables, made.knowledge_time, policy)
+        events = temporal.line_events(batch)
+        frames = [events, gates.gate_duplicate_id(batch), running_stock(batch), violation_report(batch)]
+        return events.rdd.getNumPartitions(), [rows_of(frame) for frame in frames]
+
+    _, plain = found()
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    tasks, dealt = found()
+    assert dealt == plain and dealt[0] and dealt[1]
+    # With a hot order the two parts meet in one more exchange.
+    assert tasks >= 30 or policy.hot_rows == 500
