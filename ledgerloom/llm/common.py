@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from math import ceil
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,24 @@ ROW = "row"
 KEPT_BY_WORKER: dict[str, object] = {}
 
 
+def give_back() -> None:
+    """Free memory that the allocators of a Python worker hold goes back to the system, for the other workers.
+
+    Workers outlive tasks and stages; numpy's and the tokenizer's memory comes from the C library, which keeps
+    what was freed. Where that is another than GNU's, it decides for itself.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def begin_other_work() -> None:
+    """What other work kept in this worker goes, and its memory with it."""
+    KEPT_BY_WORKER.clear()
+    give_back()
+
+
 def carried(frame: DataFrame, **inner: Column) -> DataFrame:
     """The whole input row as one struct, beside the columns an operator works with."""
     row = F.struct(*[F.col(f"`{name}`") for name in frame.columns]).alias(ROW)

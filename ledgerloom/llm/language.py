@@ -142,7 +142,7 @@ def bundle(texts: list[str | None], owners: list[int], count: int) -> tuple[np.n
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per language of a partition: the sum of its documents' vectors."""
-    common.KEPT_BY_WORKER.clear()
+    common.begin_other_work()
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), batch.column(1)
@@ -159,6 +159,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(list(sums)), pa.array([s.tolist() for s in sums.values()], pa.list_(pa.int64()))],
             ["lang", "sums"],
         )
+    common.give_back()
 
 
 def train(frame: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
@@ -193,11 +194,12 @@ def predict(
     matrix = np.stack(list(prototypes.values())) if names else np.zeros((0, DIMENSION))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.KEPT_BY_WORKER.clear()
+        common.begin_other_work()
         for batch in batches:
             for begin in range(0, batch.num_rows, BATCH_TEXTS):
                 part = batch.slice(begin, BATCH_TEXTS)
                 yield _judged(part, names, matrix)
+        common.give_back()
 
     rows = carried(frame.withColumns(kept), text=F.col(f"`{text}`").cast("string"))
     schema = T.StructType(

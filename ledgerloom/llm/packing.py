@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import written
+from ledgerloom.llm.common import give_back, written
 from ledgerloom.llm.tokens import BATCH_TEXTS, END_ID, encoder, tokenizer_path
 
 CAPACITY = 4096
@@ -128,6 +128,7 @@ def _local(
                 yield packed()
     if columns[0]:
         yield packed()
+    give_back()
 
 
 def _merged(group: pa.Table, capacity: int) -> pa.Table:

@@ -95,13 +95,14 @@ def fingerprinted(frame: DataFrame, text: str, length: int) -> DataFrame:
     )
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common.KEPT_BY_WORKER.clear()
+        common.begin_other_work()
         for batch in batches:
             found = [simhash(t.as_py(), length) for t in batch.column("text")]
             signed = np.asarray(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(ROW), batch.column("serial"), pa.array(signed)], names=schema.names
             )
+        common.give_back()
 
     return rows.mapInArrow(hashed, schema)
 

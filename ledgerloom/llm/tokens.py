@@ -15,11 +15,10 @@ import struct
 from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from ledgerloom.llm.common import KEPT_BY_WORKER
+from ledgerloom.llm.common import KEPT_BY_WORKER, begin_other_work
 
 #: The tokenizer file of the registered queries, and the id that ends a document.
 TOKENIZER = "word_bpe_49k.json"
@@ -123,7 +122,6 @@ def _is_latin(text: str) -> bool:
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder of a tokenizer file, kept until the worker does other work, whose memory it takes."""
     if path not in KEPT_BY_WORKER:
-        KEPT_BY_WORKER.clear()
-        pa.default_memory_pool().release_unused()
+        begin_other_work()
         KEPT_BY_WORKER[path] = WordEncoder(path)
     return KEPT_BY_WORKER[path]

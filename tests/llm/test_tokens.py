@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from helpers import ids_of
-from ledgerloom.llm import tokens
+from ledgerloom.llm import common, tokens
 
 ENCODER = tokens.encoder(tokens.tokenizer_path())
 PIECES = st.lists(
@@ -55,6 +55,7 @@ def test_one_text_of_many_words_keeps_the_bound(monkeypatch):
 
 def test_an_encoder_takes_the_memory_of_other_work(monkeypatch):
     kept = {"of other work": object()}
+    monkeypatch.setattr(common, "KEPT_BY_WORKER", kept)
     monkeypatch.setattr(tokens, "KEPT_BY_WORKER", kept)
     found = tokens.encoder(tokens.tokenizer_path())
     assert list(kept.values()) == [found] and tokens.encoder(tokens.tokenizer_path()) is found
