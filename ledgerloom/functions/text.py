@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -57,17 +58,52 @@ def _lowered_escapes(text: Column) -> Column:
     )
 
 
+#: Text that JSON shows as it is: printable ASCII but for the quote and the backslash.
+_PLAIN = r"[ !#-\[\]-~]*"
+#: Types whose JSON form is their cast to text.
+_SHOWN_AS_CAST = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.BooleanType())
+
+
+def _member(name: str, kind: T.DataType) -> Column:
+    """`"name":value` of a column that needs no escapes."""
+    key, value = f'"{name}":', F.col(name)
+    if kind in _SHOWN_AS_CAST:
+        return F.concat(F.lit(key), F.coalesce(value.cast("string"), F.lit("null")))
+    return F.when(value.isNull(), F.lit(f"{key}null")).otherwise(F.concat(F.lit(f'{key}"'), value, F.lit('"')))
+
+
 def ordered_json(
     frame: DataFrame, columns: Sequence[str] | None = None, *, escape: bool = True
 ) -> Column:
-    """One JSON object per row: keys sorted, no spaces, nulls kept; non-ASCII escaped on demand."""
+    """One JSON object per row: keys sorted, no spaces, nulls kept; non-ASCII escaped on demand.
+
+    Rows of whole numbers, truth values and short plain texts, as in the retail tables, are concatenated, which
+    takes a fraction of the time; a row with any text to escape goes to the encoder whole.
+    """
     wanted = sorted(columns or frame.columns)
     kinds = {field.name: field.dataType for field in frame.schema.fields}
     row = F.struct(*[_ordered(F.col(name), kinds[name]).alias(name) for name in wanted])
     options = {"ignoreNullFields": "false"}
     if escape:
         options["writeNonAsciiCharacterAsCodePoint"] = "true"
-    return F.to_json(row, options)
+    encoded = F.to_json(row, options)
+    texts = [F.col(name) for name in wanted if kinds[name] == T.StringType()]
+    simple = all(kinds[name] in (*_SHOWN_AS_CAST, T.StringType()) for name in wanted)
+    if not (escape and wanted and simple and all(re.fullmatch(_PLAIN, name) for name in wanted)):
+        return encoded
+    members = [_member(name, kinds[name]) for name in wanted]
+    commas = [F.lit(",")] * len(members)
+    joined = [part for pair in zip(commas, members) for part in pair][1:]
+    plain = F.concat(F.lit("{"), *joined, F.lit("}"))
+    if not texts:
+        return plain
+    return F.when(F.concat_ws("", *texts).rlike(rf"\A{_PLAIN}\z"), plain).otherwise(encoded)
+
+
+def holds_text(frame: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether canonical JSON of the columns may hold escapes; numbers and truth values under plain names do not."""
+    kinds = {field.name: field.dataType for field in frame.schema.fields}
+    return any(kinds[name] not in _SHOWN_AS_CAST or not re.fullmatch(_PLAIN, name) for name in columns)
 
 
 def canonical_escapes(text: Column) -> Column:
@@ -81,7 +117,7 @@ def canonical_row_json(
 ) -> Column:
     """Canonical JSON of each row: sorted keys, no spaces, nulls kept, ASCII unless escape is off."""
     encoded = ordered_json(frame, columns, escape=escape)
-    return canonical_escapes(encoded) if escape else encoded
+    return canonical_escapes(encoded) if escape and holds_text(frame, columns or frame.columns) else encoded
 
 
 def sha256_hex(value: Column) -> Column:

@@ -136,3 +136,15 @@ def test_valid_at_is_half_open(spark):
         (False, True, True, False),
         (False, True, True, True),
     ]
+
+
+def test_plain_rows_are_concatenated_and_equal_the_encoder(spark):
+    """Encoded whole before; a row with any text to escape still is."""
+    kinds = "z string, a bigint, y string, b boolean, i int, s smallint, t tinyint"
+    rows = [(value, place - 7, "plain", place % 2 == 0, place, place, -place) for place, value in enumerate(AWKWARD)]
+    frame = spark.createDataFrame([*rows, (None,) * 7, ("SALE", -(2**63), "a\n", None, 0, 0, 0)], kinds)
+    found = [row["j"] for row in frame.select(text.canonical_row_json(frame).alias("j")).collect()]
+    assert found == [canonical(row.asDict()) for row in frame.collect()]
+    numbers = frame.select("a", "b", "i")
+    plan = numbers.select(text.canonical_row_json(numbers).alias("j"))._jdf.queryExecution().toString().lower()
+    assert "to_json" not in plan and "structstojson" not in plan
