@@ -1,11 +1,10 @@
-"""Token ids of whole texts by a public tokenizer file, each distinct word encoded once per worker.
+"""Token ids of whole texts by a public tokenizer file, each distinct pre-token encoded once per worker.
 
 The tokenizer lower-cases, cuts a text into pre-tokens (letter runs, single digits, symbol runs, a few
 contractions) and merges within each of them; white space is dropped. So a text's ids are those of its
-words in order, and a word's are those of its pre-tokens. Texts of Latin-1 characters, where lower case and
-letters depend on nothing but the character, are cut into words here; words of letters, digits and ASCII
-symbols are cut into pre-tokens here too, and only these go to the tokenizer's merges. All other words (such
-as those with an apostrophe, which may begin a contraction) and all other texts go to the tokenizer whole.
+pre-tokens in order. Texts of Latin-1 characters, where lower case and letters depend on nothing but the
+character, are cut into pre-tokens here, and only these go to the tokenizer's merges, so that a word is the
+same with a comma and without. All other texts go to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Sequence
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
@@ -24,26 +24,30 @@ from ledgerloom.llm.common import KEPT_BY_WORKER, begin_other_work
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
-#: Words a worker remembers, in two halves: when the newer is full, the older goes. This bounds memory and
-#: changes no result.
-REMEMBERED = 400_000
+#: Pre-tokens a worker remembers, in two halves: when the newer is full, the older goes. This bounds memory and
+#: changes no result. A half just fits a dictionary of 2**18 places, two thirds of which may be taken.
+REMEMBERED = 348_000
 LONGEST_REMEMBERED = 64
 #: Texts that are encoded at once.
 BATCH_TEXTS = 256
 
-# A word of lower-case letters of Latin-1, digits and ASCII symbols but the apostrophe; its
-# pre-tokens; what begins a special token, and characters that Python counts as white space but the tokenizer
-# does not.
-_LETTERS = "a-zªµºß-öø-ÿ"
-_SYMBOLS = r"!-&(-/:-@\[-`{-~"
-_PLAIN = re.compile(f"[{_LETTERS}0-9{_SYMBOLS}]+")
-_PRE_TOKENS = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SYMBOLS}]+")
-_AS_IS = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+# Fixed values of the tokenizer, for the bytes of Latin-1 texts: letters, numbers and white space, all else being
+# symbols; contractions; what begins a special token. Upper case becomes lower case, white space a blank.
+_SPACE, _LETTER, _NUMBER, _SYMBOL = range(4)
+_SPACES = {*range(0x09, 0x0E), 0x20, 0x85, 0xA0}
+_NUMBERS = {*b"0123456789\xb2\xb3\xb9\xbc\xbd\xbe"}
+_LOWERED = bytes(0x20 if byte in _SPACES else ord(chr(byte).lower()) for byte in range(256))
+_KINDS = bytes(
+    _SPACE if byte in _SPACES else _NUMBER if byte in _NUMBERS else _LETTER if chr(byte).isalpha() else _SYMBOL
+    for byte in range(256)
+)
+_CONTRACTIONS = re.compile(rb"'(?:s|t|re|ve|m|ll|d)")
+_SPECIAL = b"<|"
 #: Bytes as the merges know them: those that print in Latin-1 stand for themselves, the others follow from 256 on.
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _OTHERS = [byte for byte in range(256) if byte not in _PRINTED]
 _BYTE_LEVEL = {byte: chr(byte) for byte in _PRINTED} | {byte: chr(256 + n) for n, byte in enumerate(_OTHERS)}
-_LEVELLED = {n: "".join(_BYTE_LEVEL[byte] for byte in chr(n).encode()) for n in range(0x80, 0x100)}
+_LEVELLED = {n: "".join(_BYTE_LEVEL[byte] for byte in chr(n).encode()) for n in range(256)}
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -59,66 +63,73 @@ def _packed(ids: Sequence[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
-class _Words(dict):
-    """word -> ids. What is not there is learned, and kept if the word is not long."""
+_ID = attrgetter("id")
+
+
+class _PreTokens(dict):
+    """Latin-1 bytes of a pre-token -> ids. What is not there is learned, and kept if it is not long."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
-        self._tokenizer = tokenizer
         self._merges = tokenizer.model.tokenize
-        self._before: dict[str, bytes] = {}
+        self._before: dict[bytes, bytes] = {}
 
-    def whole(self, text: str) -> bytes:
-        return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _merged(self, pre_token: str) -> bytes:
-        levelled = pre_token if pre_token.isascii() else pre_token.translate(_LEVELLED)
-        return _packed([token.id for token in self._merges(levelled)])
-
-    def __missing__(self, word: str) -> bytes:
-        if len(word) > LONGEST_REMEMBERED:
-            return self.whole(word)
-        ids = self._before.get(word)
+    def __missing__(self, pre_token: bytes) -> bytes:
+        ids = self._before.get(pre_token)
         if ids is None:
-            if word.isalpha():
-                ids = self._merged(word)
-            elif _PLAIN.fullmatch(word):
-                parts = _PRE_TOKENS.findall(word)
-                ids = b"".join([self[part] if part != word else self._merged(part) for part in parts])
-            else:
-                ids = self.whole(word)
+            text = pre_token.decode("latin-1")
+            levelled = text if pre_token.isalpha() else text.translate(_LEVELLED)
+            ids = _packed(list(map(_ID, self._merges(levelled))))
+            if len(pre_token) > LONGEST_REMEMBERED:
+                return ids
         if len(self) >= REMEMBERED // 2:
             self._before = dict(self)
             self.clear()
-        self[word] = ids
+        self[pre_token] = ids
         return ids
 
 
+def _pre_tokens(data: bytes) -> list[bytes]:
+    """The pre-tokens of a lower-cased Latin-1 text: blanks go between them, so that they are its words."""
+    kinds = np.frombuffer(data.translate(_KINDS), np.uint8)
+    before, after = kinds[:-1], kinds[1:]
+    cut = (before != after) | (after == _NUMBER)
+    cut &= (before != _SPACE) & (after != _SPACE)
+    # Where symbols begin with a contraction, it is a pre-token; elsewhere the apostrophe is one symbol of many.
+    for found in _CONTRACTIONS.finditer(data):
+        start, end = found.span()
+        if not start or kinds[start - 1] != _SYMBOL:
+            cut[start] = False
+            if end < len(data):
+                cut[end - 1] = kinds[end] != _SPACE
+    return np.insert(np.frombuffer(data, np.uint8), np.flatnonzero(cut) + 1, 0x20).tobytes().split()
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
-        self.known = _Words(Tokenizer.from_file(path))
+        self._tokenizer = Tokenizer.from_file(path)
+        self.known = _PreTokens(self._tokenizer)
+
+    def whole(self, text: str) -> bytes:
+        return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text; null counts as empty."""
         text = text or ""
-        if any(map(text.__contains__, _AS_IS)) or not _is_latin(text):
-            return self.known.whole(text)
-        return b"".join(map(self.known.__getitem__, text.lower().split()))
+        try:
+            data = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.whole(text)
+        if _SPECIAL in data:
+            return self.whole(text)
+        return b"".join(map(self.known.__getitem__, _pre_tokens(data.translate(_LOWERED))))
 
     def encode_batch(self, texts: Sequence[str | None]) -> list[bytes]:
         return list(map(self.encode, texts))
 
 
-def _is_latin(text: str) -> bool:
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
-
-
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder of a tokenizer file, kept until the worker does other work, whose memory it takes."""
     if path not in KEPT_BY_WORKER:

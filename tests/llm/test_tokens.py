@@ -59,3 +59,19 @@ def test_an_encoder_takes_the_memory_of_other_work(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_BY_WORKER", kept)
     found = tokens.encoder(tokens.tokenizer_path())
     assert list(kept.values()) == [found] and tokens.encoder(tokens.tokenizer_path()) is found
+
+
+def test_a_word_is_learned_once_whatever_symbols_surround_it():
+    small = tokens.WordEncoder(tokens.tokenizer_path())
+    text = "word word, (word) word. WORD! word\xa0word"
+    assert np.frombuffer(small.encode(text), "<u4").tolist() == ids_of(text)[:-1]
+    assert len(small.known) == 6
+
+
+LATIN = st.text(st.sampled_from("''''strevmldST 1\xb2\xe9.!\xa0\x85\x1c") | st.characters(max_codepoint=255), max_size=20)
+
+
+@settings(max_examples=500, deadline=None)
+@given(LATIN)
+def test_latin_texts_are_cut_as_the_tokenizer_cuts_them(text):
+    assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == ids_of(text)[:-1]
