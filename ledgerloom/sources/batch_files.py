@@ -42,7 +42,7 @@ def read_batch_table(
 
 
 def write_batch_table(
-    frame: DataFrame, folder: str, *, files: int | None = None, rows_per_file: int = 5_000_000
+    frame: DataFrame, folder: str, *, files: int | None = None, rows_per_file: int = 1_000_000
 ) -> None:
     """Gzipped NDJSON with sorted keys and nulls kept, cut into files of a bounded number of rows."""
     ordered = frame.select(*sorted(frame.columns))

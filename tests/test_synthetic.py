@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom import catalog
 from ledgerloom.operators.fingerprint import table_fingerprints
 from ledgerloom.plans.report import violated_codes, violation_report
 from ledgerloom.schemas import SCHEMAS
@@ -63,3 +66,15 @@ def test_fault_gives_its_code(batch, fault):
     expected = set(CODES[fault].split(","))
     # A refund on a line already returned may exceed its quantity too.
     assert expected <= codes <= expected | {"RETURN_QUANTITY"}
+
+
+def test_orders_of_one_small_file_are_dealt_out(spark, tmp_path, monkeypatch):
+    keys = [5, 5, None, *range(7, 104)]
+    pq.write_table(pa.table({"o_orderkey": pa.array(keys, pa.int64())}), tmp_path / "orders.parquet")
+    whole = catalog._synthetic(spark, str(tmp_path))
+    monkeypatch.setattr(catalog, "ORDERS_PER_FILE", 20)
+    dealt = catalog._synthetic(spark, str(tmp_path))
+    for name in ("orders", "order_lines", "inventory_movements"):
+        assert sorted(map(str, dealt[name].collect())) == sorted(map(str, whole[name].collect()))
+    assert whole["orders"].rdd.getNumPartitions() == 1
+    assert 1 < dealt["orders"].rdd.getNumPartitions() <= 5
